@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,10 +43,12 @@ def words_of(text: str | None) -> list[bytes]:
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """_MULT**i and its inverse modulo 2**64 for i < n."""
+    up, down = np.full(n, _MULT, np.uint64), np.full(n, _INVERSE, np.uint64)
+    up[:1] = down[:1] = 1
     with np.errstate(over="ignore"):
-        up = np.cumprod(np.concatenate([[1], np.full(max(0, n - 1), _MULT)]).astype(np.uint64), dtype=np.uint64)
-        down = np.cumprod(np.concatenate([[1], np.full(max(0, n - 1), _INVERSE)]).astype(np.uint64), dtype=np.uint64)
-    return up[:n], down[:n]
+        np.multiply.accumulate(up, out=up)
+        np.multiply.accumulate(down, out=down)
+    return up, down
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -56,12 +62,14 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class Rolling:
-    """Hashes of any substrings of one byte buffer, each from two look-ups in a prefix sum."""
+    """Hashes of any substrings of one buffer of bytes (or code points, as uint32), each from two look-ups in a
+    prefix sum."""
 
     def __init__(self, data: np.ndarray):
         up, self._down = powers(len(data) + 1)
         with np.errstate(over="ignore"):
-            self._sum = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE_CODE[data] * up[:-1], dtype=np.uint64)])
+            code = _BYTE_CODE[data] if data.dtype == np.uint8 else mix(data.astype(np.uint64) + np.uint64(_MULT)) | np.uint64(1)
+            self._sum = np.concatenate([np.zeros(1, np.uint64), np.cumsum(code * up[:-1], dtype=np.uint64)])
 
     def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -86,3 +94,22 @@ def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def lower_bytes(data: np.ndarray) -> np.ndarray:
     """A-Z to a-z; other bytes stay."""
     return np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
+
+
+def blocks(texts, limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
+    """(first row, rows) of runs of texts (an Arrow array) of about ``limit`` bytes, or of one longer text."""
+    size = pc.fill_null(pc.binary_length(texts.cast(pa.large_binary())), 0).to_numpy(zero_copy_only=False)
+    total = np.cumsum(size + 1)
+    at = 0
+    while at < len(size):
+        upto = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + limit, side="right")))
+        yield at, upto - at
+        at = upto
+
+
+def text_blocks(texts, limit: int = 4 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, rows, bytes, ends) of such runs: the texts one after the other, each closed by a line feed;
+    null texts are empty."""
+    for at, n in blocks(texts, limit):
+        part = [t or b"" for t in texts.slice(at, n).cast(pa.large_binary()).to_pylist()]
+        yield at, n, np.frombuffer(b"\n".join([*part, b""]), np.uint8), np.cumsum([len(t) + 1 for t in part])

@@ -1,12 +1,21 @@
-"""The thin queries over whole tables, one an operator, and the SQL of those that SQL can express."""
+"""The thin queries over whole tables, one an operator, and the SQL of those that SQL can express.
+
+None of the ten has SQL: they hash with XXH64, sample by hash, learn, or run automata.  Their tests compare
+them with brute force instead.
+"""
 
 from __future__ import annotations
 
-from . import mixing, sharding, simhash
+from . import licenses, mixing, neighbours, pieces, quality, sharding, simhash, topk
 
 QUERIES = {
+    "op1_pieces": pieces.op1_pieces,
     "op2_mixing": mixing.op2_mixing,
+    "op4_topk": topk.op4_topk,
+    "op5_quality": quality.op5_quality,
+    "op7_licenses": licenses.op7_licenses,
     "op8_sharding": sharding.op8_sharding,
+    "op9_neighbours": neighbours.op9_neighbours,
     "op10_simhash": simhash.op10_simhash,
 }
 ORACLES: dict[str, str] = {}
