@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from .common import stash
 from .vectors import answers, finite, fold, matrix
 
-SAMPLE_ROWS = 8192  #: distinct vectors that the index is fitted on, at most
+SAMPLE_ROWS = 4096  #: distinct vectors that the index is fitted on, at most
 PART_ROWS, PARTS = 2048, 256  #: rows that a part should have; the most parts
-TARGET = 0.985  #: of the sample's neighbours that routing must reach
+TARGET = 0.95  #: of the sample's neighbours that routing must reach
 QUERY_BLOCK, CANDIDATE_BLOCK = 1024, 16384
 
 
@@ -94,7 +94,7 @@ class Router:
         return np.maximum(x @ w1 + b1, 0) @ w2 + b2
 
 
-def learn(x: np.ndarray, aim: np.ndarray, hidden: int = 128, epochs: int = 40, batch: int = 256, rate: float = 4e-3, seed: int = 11) -> Router:
+def learn(x: np.ndarray, aim: np.ndarray, hidden: int = 96, epochs: int = 25, batch: int = 256, rate: float = 4e-3, seed: int = 11) -> Router:
     """Adam on the cross entropy with ``aim``, each row's distribution over parts."""
     rng = np.random.default_rng(seed)
     width, parts = x.shape[1], aim.shape[1]
