@@ -6,13 +6,14 @@ them with brute force instead.
 
 from __future__ import annotations
 
-from . import licenses, mixing, neighbours, pieces, quality, sharding, simhash, topk
+from . import licenses, mixing, neighbours, pieces, quality, repeats, sharding, simhash, topk
 
 QUERIES = {
     "op1_pieces": pieces.op1_pieces,
     "op2_mixing": mixing.op2_mixing,
     "op4_topk": topk.op4_topk,
     "op5_quality": quality.op5_quality,
+    "op6_repeats": repeats.op6_repeats,
     "op7_licenses": licenses.op7_licenses,
     "op8_sharding": sharding.op8_sharding,
     "op9_neighbours": neighbours.op9_neighbours,
