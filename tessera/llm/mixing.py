@@ -67,19 +67,21 @@ def mix_sources(
     repeats: float = 2.0,
     seed: int = 17,
     buckets: int = 4096,
+    extra: str | None = None,
 ) -> DataFrame:
     """doc_id, source, size, source_size, target, taken and epochs for every row of ``docs`` (doc_id, text, source).
 
-    ``quality``: a positive column that scales the keys; text_quality by default (null counts as 0.1).
+    ``extra``: one more column to keep.  ``quality``: a positive column that scales the keys; text_quality by default (null counts as 0.1).
     Null sources form one source, the last; null and empty texts have size 0 and nothing taken; repeated rows
     count each; an empty table gives an empty result.  Other columns are ignored.  The same rows and seed
     always give the same result: rows that tie in every column are alike.
     """
+    more = [extra] if extra else []
     quality = F.greatest(F.coalesce(quality if quality is not None else text_quality("text"), F.lit(0.1)), F.lit(1e-6))
-    keyed = docs.select("doc_id", "source", word_count("text").alias("size"), F.xxhash64("text").alias("_t"), quality.alias("_q"))
+    keyed = docs.select("doc_id", "source", word_count("text").alias("size"), F.xxhash64("text").alias("_t"), quality.alias("_q"), *more)
     key = -F.log(unit_hash("doc_id", "source", "_t", seed=seed)) / F.col("_q")
     # 1 - exp(-key) keeps the order of the keys and lies in (0, 1).
-    keyed = stash(keyed.select("doc_id", "source", "size", "_t", key.alias("_key")).withColumn("_bucket", F.floor((1 - F.exp(-F.col("_key"))) * buckets).cast("int")))
+    keyed = stash(keyed.select("doc_id", "source", "size", "_t", key.alias("_key"), *[F.col(m).alias("_more") for m in more]).withColumn("_bucket", F.floor((1 - F.exp(-F.col("_key"))) * buckets).cast("int")))
 
     sums = stash(keyed.groupBy("source", "_bucket").agg(F.sum("size").alias("_sum")))
     goal = targets(sums.groupBy("source").agg(F.sum("_sum").alias("source_size")), weights, share, repeats)
@@ -95,12 +97,13 @@ def mix_sources(
     # A bucket is wholly in, wholly out, or the edge.
     state = F.when(F.col("_before") + F.col("_sum") <= F.col("_budget"), 1).when(F.col("_before") >= F.col("_budget"), 0).otherwise(2)
     rows = keyed.join(steps.withColumn("_state", state), F.col("source").eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b")))
-    out = ["doc_id", "source", "size", "source_size", "target", "_epochs", "taken"]
+    out = ["doc_id", "source", "size", "source_size", "target", "_epochs", "taken", *["_more" for _ in more]]
     sure = rows.filter("_state < 2").withColumn("taken", F.col("size") * (F.col("_epochs") + F.col("_state"))).select(*out)
     inside = Window.partitionBy("source").orderBy("_key", "doc_id", "_t", "size").rowsBetween(Window.unboundedPreceding, -1)
     edge = rows.filter("_state = 2").withColumn("_left", F.col("_budget") - F.col("_before") - F.coalesce(F.sum("size").over(inside), F.lit(0)))
     edge = edge.withColumn("taken", F.col("size") * F.col("_epochs") + F.greatest(F.lit(0), F.least(F.col("size"), F.col("_left")))).select(*out)
-    return sure.unionByName(edge).withColumnRenamed("_epochs", "epochs")
+    both = sure.unionByName(edge).withColumnRenamed("_epochs", "epochs")
+    return both.withColumnRenamed("_more", extra) if extra else both
 
 
 def op2_mixing(spark, sf_dir: str) -> DataFrame:

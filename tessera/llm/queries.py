@@ -6,11 +6,12 @@ them with brute force instead.
 
 from __future__ import annotations
 
-from . import licenses, mixing, neighbours, pieces, quality, repeats, sharding, simhash, topk
+from . import licenses, lm, mixing, neighbours, pieces, quality, repeats, sharding, simhash, topk
 
 QUERIES = {
     "op1_pieces": pieces.op1_pieces,
     "op2_mixing": mixing.op2_mixing,
+    "op3_lm": lm.op3_lm,
     "op4_topk": topk.op4_topk,
     "op5_quality": quality.op5_quality,
     "op6_repeats": repeats.op6_repeats,

@@ -13,6 +13,7 @@ links), never all pairs.  Components are found by alternating large-star and sma
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .common import stash, words_of
+from .common import Rolling, lower_bytes, mix, stash, text_blocks, word_spans, words_of
 
 _EVEN = 0x5555555555555555
 
@@ -137,9 +138,10 @@ def cell_links(cell: np.ndarray, fp: np.ndarray, distance: int, wide: int = 2048
     return _forest(np.concatenate(left), np.concatenate(right), len(fp))
 
 
-def links(distinct: DataFrame, distance: int = 2, spare: int = 3) -> DataFrame:
+def links(distinct: DataFrame, distance: int = 2, spare: int = 3, nearest: bool = False) -> DataFrame:
     """(a, b): links between the distinct fingerprints ``fp`` whose components are those of all pairs at most
-    ``distance`` apart.  ``spare``: the blocks of coordinates that must agree in a cell."""
+    ``distance`` apart; with ``nearest``, each one's nearest earlier one in each cell.  ``spare``: the blocks of
+    coordinates that must agree in a cell."""
     blocks = distance + spare
     masks = [sum(3 << (2 * i) for i in range(32) if i % blocks == g) for g in range(blocks)]
     popped = distinct.select("fp", _popcounts(F.col("fp")).alias("_p"))
@@ -149,7 +151,7 @@ def links(distinct: DataFrame, distance: int = 2, spare: int = 3) -> DataFrame:
         held_c, held_f = np.zeros(0, np.int64), np.zeros(0, np.uint64)
 
         def found(cell: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
-            child, parent = cell_links(cell, fp, distance)
+            child, parent = nearest_links(cell, fp, distance) if nearest else cell_links(cell, fp, distance)
             return pa.RecordBatch.from_arrays([pa.array(fp[child].view(np.int64)), pa.array(fp[parent].view(np.int64))], ["a", "b"])
 
         for batch in batches:
@@ -181,6 +183,140 @@ def simhash_groups(docs: DataFrame, width: int = 3, distance: int = 2) -> DataFr
     return marked.join(lookup, "fp").select("doc_id", "fp", "component_id")
 
 
+def word_marks(data: np.ndarray, ends: np.ndarray, seeds: int) -> np.ndarray:
+    """Fingerprints of the texts' sets of words, a row a seed: a few changed words move few bits."""
+    start, stop = word_spans(data)
+    owner = np.searchsorted(ends, start, side="right")
+    word = Rolling(lower_bytes(data)).spans(start, stop)
+    order = np.lexsort((word, owner))
+    owner, word = owner[order], word[order]
+    new = np.ones(len(word), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (word[1:] != word[:-1])
+    owner, word = owner[new], word[new]
+    out = np.zeros((seeds, len(ends)), np.uint64)
+    count = np.bincount(owner, minlength=len(ends))
+    have = np.flatnonzero(count)
+    first = (np.cumsum(count) - count)[have]
+    for seed in range(seeds if len(word) else 0):
+        bits = np.unpackbits(mix(word ^ mix(np.array([seed + 1], np.uint64))).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones = np.add.reduceat(bits, first, axis=0, dtype=np.int32)
+        out[seed, have] = np.packbits(2 * ones > count[have][:, None], axis=1, bitorder="little").view("<u8").ravel()
+    return out
+
+
+def shingle_sets(data: np.ndarray, ends: np.ndarray, width: int) -> list[np.ndarray]:
+    """Hashes of each text's distinct ``width``-word shingles (of all its words, if fewer), sorted."""
+    start, stop = word_spans(data)
+    cut = np.searchsorted(start, np.concatenate([[0], ends]))
+    word = Rolling(lower_bytes(data)).spans(start, stop)
+    with np.errstate(over="ignore"):
+        line = np.zeros(len(word), np.uint64)
+        for i in range(width):
+            line[: len(word) - i] = mix(line[: len(word) - i] + word[i:])
+    sets = []
+    for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+        if b - a >= width:
+            sets.append(np.unique(line[a : b - width + 1]))
+        else:
+            sets.append(mix(np.array([zlib.crc32(word[a:b].tobytes()) + (b - a << 32)], np.uint64)) if b > a else np.zeros(0, np.uint64))
+    return sets
+
+
+def nearest_links(cell: np.ndarray, fp: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each fingerprint and the nearest earlier one of its cell, if within ``distance``; sorted by cell."""
+    best, near = np.full(len(fp), distance + 1, np.int64), np.zeros(len(fp), np.int64)
+    unary = _unary(fp)
+    rows = np.flatnonzero(cell[1:] == cell[:-1]) + 1
+    gap = 1
+    while len(rows):
+        bound = np.bitwise_count(unary[rows] ^ unary[rows - gap]) <= distance
+        some = rows[bound]
+        far = np.bitwise_count(fp[some] ^ fp[some - gap])
+        good = far < best[some]
+        best[some[good]], near[some[good]] = far[good], some[good] - gap
+        gap += 1
+        rows = rows[rows >= gap]
+        rows = rows[cell[rows] == cell[rows - gap]]
+    child = np.flatnonzero(best <= distance)
+    return child, near[child]
+
+
+def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8, seeds: int = 5, distance: int = 4) -> DataFrame:
+    """(row_key, group, stays) for each distinct (doc_id, text) of docs: groups of near copies.
+
+    Candidates are texts whose sets of words have fingerprints within ``distance`` bits for one of ``seeds``
+    seeds, found on the popcount grid (a text is paired with the nearest earlier one of each of its cells; equal
+    texts and equal fingerprints need no search).  A candidate is a link if the Jaccard similarity of the sets of
+    ``width``-word shingles is at least ``similarity``, computed exactly.  Of each group, the components of the
+    links, the row of the smallest doc_id stays (null last).  Null texts count as empty and as copies of one
+    another.  row_key: xxhash64(doc_id, text).
+    """
+    keyed = docs.select("doc_id", row_key().alias("row_key"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), F.coalesce("text", F.lit("")).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, n, data, ends in text_blocks(batch.column(3)):
+                marks = pa.FixedSizeListArray.from_arrays(pa.array(word_marks(data, ends, seeds).T.ravel().view(np.int64)), seeds).cast(pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(at, n) for i in range(3)), marks], ["doc_id", "row_key", "text_key", "marks"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = stash(keyed.mapInArrow(run, f"doc_id {kind}, row_key long, text_key long, marks array<long>"))
+    texts = rows.groupBy("text_key").agg(F.min_by("row_key", _order()).alias("node"), F.min_by("marks", _order()).alias("marks"))
+    texts = stash(texts)
+    found = None
+    for seed in range(seeds):
+        marked = texts.select("node", F.element_at("marks", seed + 1).alias("fp"))
+        heads = marked.groupBy("fp").agg(F.min("node").alias("head"))
+        same = marked.join(heads, "fp").filter("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
+        close = links(heads.select("fp"), distance, nearest=True)
+        left, right = heads.select(F.col("fp").alias("a"), F.col("head").alias("_a")), heads.select(F.col("fp").alias("b"), F.col("head").alias("_b"))
+        close = close.distinct().join(left, "a").join(right, "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+        found = same.union(close) if found is None else found.union(same).union(close)
+    pairs = stash(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "row_key")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, n, data, ends in text_blocks(batch.column(1)):
+                own = shingle_sets(data, ends, width)
+                flat = pa.array(np.concatenate([*own, np.zeros(0, np.uint64)]).view(np.int64))
+                offsets = pa.array(np.cumsum([0, *map(len, own)]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, n), pa.ListArray.from_arrays(offsets, flat)], ["row_key", "shingles"])
+
+    shown = keyed.select("row_key", "text").join(wanted, "row_key").mapInArrow(sets, "row_key long, shingles array<long>")
+    shown = stash(shown.dropDuplicates(["row_key"]))
+    joined = pairs.join(shown.select(F.col("row_key").alias("a"), F.col("shingles").alias("x")), "a").join(shown.select(F.col("row_key").alias("b"), F.col("shingles").alias("y")), "b")
+    both = F.size(F.array_intersect("x", "y"))
+    linked = joined.filter(both >= F.lit(similarity) * (F.size("x") + F.size("y") - both)).select("a", "b")
+    roots = connected_components(linked)
+    grouped = rows.select("doc_id", "row_key", "text_key").join(texts.select("text_key", "node"), "text_key").join(roots, "node", "left")
+    grouped = stash(grouped.select("doc_id", "row_key", F.coalesce("root", "node").alias("group")))
+    first = grouped.groupBy("group").agg(F.min_by("row_key", _order()).alias("_stays"))
+    return grouped.join(first, "group").select("row_key", "group", (F.col("row_key") == F.col("_stays")).alias("stays")).distinct()
+
+
+def row_key() -> Column:
+    return F.xxhash64("doc_id", "text")
+
+
+def _order() -> Column:
+    return F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
+
+
+def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
+    """docs without the near copies: one row of each group stays (see near_copies), all columns as they are.
+
+    Of rows that repeat both doc_id and text one stays as well.
+    """
+    names = docs.columns
+    decided = stash(near_copies(docs, **options))
+    rows = docs.select(*names, row_key().alias("_row_key"))
+    kept = rows.join(decided.filter("stays").select(F.col("row_key").alias("_row_key")), "_row_key", "left_semi")
+    if docs.select(row_key().alias("k")).groupBy("k").count().filter("count > 1").limit(1).count():
+        kept = kept.dropDuplicates(["_row_key"])
+    return kept.select(*names)
+
+
 def op10_simhash(spark, sf_dir: str) -> DataFrame:
     found = simhash_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
