@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Spark's setting that drops a query's shuffle files when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
@@ -24,9 +28,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 def stash(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder as Parquet and read it back: lineage is cut, files survive executors."""
-    path = f"{shared_dir(df.sparkSession)}/stash-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/stash-{uuid.uuid4().hex}"
+    before = spark.conf.get(CLEANUP, None)
+    if before is not None:  # the written files replace the shuffle files, which can go at once
+        spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is not None:
+            spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def unstash(df: DataFrame) -> None:
@@ -41,5 +53,7 @@ def unstash(df: DataFrame) -> None:
 
 def tidy(spark: SparkSession) -> None:
     """Let Spark's cleaner drop the shuffle files of finished steps; it works from collected garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.4)
