@@ -112,18 +112,19 @@ def greedy_fuzzy(entities: DataFrame) -> DataFrame:
         label = part["label"].iloc[0]
         least = THRESHOLDS.get(label, OTHER_THRESHOLD)
         rows = part.sort_values(["mention_count", "key"], ascending=[False, True], kind="stable")
-        kept: list[tuple[str, str]] = []
+        kept: list[tuple[str, str, bool]] = []
         into = []
-        for own, key, author in zip(rows["entity_id"], rows["key"], rows["is_author"], strict=True):
-            target = None if author else next((i for i, k in kept if ratio(key, k, least) >= least and not blocked(key, k, label)), None)
+        for own, key, author, short in zip(rows["entity_id"], rows["key"], rows["is_author"], rows["short"], strict=True):
+            # Two acronyms are never spellings of one another.
+            target = None if author else next((i for i, k, s in kept if not (s and short and k != key) and ratio(key, k, least) >= least and not blocked(key, k, label)), None)
             if target is None:
                 target = own
                 if not author:
-                    kept.append((own, key))
+                    kept.append((own, key, short))
             into.append(target)
         return pd.DataFrame({"entity_id": rows["entity_id"], "into": into})
 
-    keyed = entities.select("entity_id", "key", "label", "mention_count", F.coalesce("is_author", F.lit(False)).alias("is_author"), block_key(F.col("canonical_name"), F.col("label")).alias("block"))
+    keyed = entities.select("entity_id", "key", "label", "mention_count", F.coalesce("is_author", F.lit(False)).alias("is_author"), F.col("canonical_name").rlike(r"^\p{Lu}{2,6}$").alias("short"), block_key(F.col("canonical_name"), F.col("label")).alias("block"))
     return keyed.groupBy("label", "block").applyInPandas(fold, "entity_id string, into string")
 
 
