@@ -39,7 +39,7 @@ def relations(spark: SparkSession, sf_dir: str) -> DataFrame:
         pick(LABELS, F.col("l_partkey")).alias("target_label"),
         pick(SOURCES, F.col("l_orderkey") + F.col("l_linenumber")).alias("edge_source"),
         F.col("l_orderkey").alias("doc_id"),
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ord"),
+        ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 100000 + F.datediff(F.to_date("l_shipdate"), F.lit("1970-01-01"))).alias("ord"),
         F.when(F.col("l_quantity") > 10, F.year("l_shipdate")).alias("year"),
         (0.5 + F.col("l_discount")).alias("confidence"),
         F.when(F.col("l_tax") > 0.02, F.concat(F.lit("line "), "l_linenumber")).otherwise("").alias("evidence"),
@@ -53,7 +53,7 @@ def _list(values: tuple[str, ...], number: str) -> str:
 REL = f"""rel AS (SELECT 's' || l_suppkey AS source, 'p' || l_partkey AS target,
   {_list(RELATIONS, "l_partkey + l_linenumber")} AS rel_type, {_list(LABELS, "l_suppkey")} AS source_label,
   {_list(LABELS, "l_partkey")} AS target_label, {_list(SOURCES, "l_orderkey + l_linenumber")} AS edge_source,
-  l_orderkey AS doc_id, l_orderkey * 10 + l_linenumber AS ord,
+  l_orderkey AS doc_id, (l_orderkey * 10 + l_linenumber) * 100000 + date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) AS ord,
   CASE WHEN l_quantity > 10 THEN year(l_shipdate) END AS year, 0.5 + l_discount AS confidence,
   CASE WHEN l_tax > 0.02 THEN 'line ' || l_linenumber ELSE '' END AS evidence FROM lineitem)"""
 
