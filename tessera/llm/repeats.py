@@ -27,12 +27,12 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from .common import Rolling, mix, stash, text_blocks, tidy
-from .packed import ROWS, Row, batch, deal, gather, home, home_column, unbatch
+from .packed import ROWS, Row, batch, deal, gather, home, home_column, pack, unbatch
 
 WIDTH, GRAM = 50, 24
 HELD = 3_000_000  #: records that a task folds at once
-PART_BYTES = 24 << 20  #: text bytes in a part
-SLICE = 4 << 20  #: bytes hashed at once
+PART_BYTES = 12 << 20  #: text bytes in a part
+SLICE = BLOCK = 1 << 20  #: bytes hashed at once; an array of 8 bytes each takes 8 MB, some twenty live together
 
 
 def _slide(x: np.ndarray, width: int, pick) -> np.ndarray:
@@ -47,13 +47,15 @@ def _slide(x: np.ndarray, width: int, pick) -> np.ndarray:
 class Anchors:
     """Anchors of texts that lie in ``data`` one after the other, closed by one byte each.
 
-    at: places; key: 64-bit hash of the gram; context: of all that its windows reach; owner: text number."""
+    at: places; key: 64-bit hash of the gram; context: of all that its windows reach; owner: text number;
+    least: for every place the key of the window that starts there, 0 where none does."""
 
     def __init__(self, data: np.ndarray, ends: np.ndarray, width: int = WIDTH, gram: int = GRAM):
         self.width, self.reach = width, width - gram
         starts = np.concatenate([[0], ends[:-1]])
         close = ends - 1  # without the closing byte
         parts: list[tuple[np.ndarray, ...]] = []
+        self.least = np.zeros(len(data), np.uint64)
         for low in range(0, len(data), SLICE):
             a, b = max(0, low - 2 * width), min(len(data), low + SLICE + 2 * width)
             rolling = Rolling(data[a:b])
@@ -64,6 +66,9 @@ class Anchors:
             place = np.arange(a, a + len(least))
             owner = np.searchsorted(ends, place, side="right")
             least[place + width > close[np.minimum(owner, len(ends) - 1)]] = 0  # windows never cross documents
+            own = min(low + SLICE, a + len(least))
+            if own > low:
+                self.least[low:own] = least[low - a : own - a]
             padded = np.concatenate([np.zeros(self.reach, np.uint64), least, np.zeros(self.reach, np.uint64)])
             at = np.flatnonzero((_slide(padded, self.reach + 1, np.maximum) == grams) & (grams != 0)) + a
             at = at[(at >= low) & (at < low + SLICE)]
@@ -113,7 +118,7 @@ def _first_pass(parts: int):
         held, count = [], 0
         for some in batches:
             ids = some.column(0).to_numpy()
-            for at, n, data, ends in text_blocks(some.column(1)):
+            for at, n, data, ends in text_blocks(some.column(1), BLOCK):
                 found = Anchors(data, ends)
                 held.append((found.key, found.context, ids[at : at + n][found.owner]))
                 count += len(found.key)
@@ -170,7 +175,7 @@ def _last_pass(parts: int):
         windows: list[tuple[np.ndarray, ...]] = []
         if docs.num_rows and (len(repeat[0]) or len(wanted[0])):
             all_ids = docs["doc_id"].to_numpy()
-            for at, n, data, ends in text_blocks(docs["text"].combine_chunks()):
+            for at, n, data, ends in text_blocks(docs["text"].combine_chunks(), BLOCK):
                 ids = all_ids[at : at + n]
                 found = Anchors(data, ends)
                 start = np.concatenate([[0], ends[:-1]])
@@ -179,28 +184,46 @@ def _last_pass(parts: int):
                 low, high, owner = found.left[hit], found.right[hit], found.owner[hit]
                 mark = _text_marks(data, ends)
                 rows += deal(SPAN, home(ids[owner], parts), (ids[owner], 0), (mark[owner], 4), (low - start[owner], 5), (high - start[owner], 5))
-                # All windows that hold a wanted anchor: a superset of those it is the smallest of, and the same
-                # in every document that shows them.
+                # Windows whose smallest gram is a wanted anchor; those inside a span that goes are shown by a
+                # smaller document, so they needn't be shown again.
+                gone = np.zeros(len(data) + 1, np.int64)
+                np.add.at(gone, low, 1)
+                np.add.at(gone, high, -1)
+                gone = np.concatenate([[0], np.cumsum(np.cumsum(gone[:-1]) > 0)])
                 hit = np.flatnonzero(_match(found.owner, cut, ids, *wanted))
-                if len(hit):
-                    low, high = found.left[hit], found.right[hit] - WIDTH
-                    size = np.maximum(high - low + 1, 0)
-                    size = np.minimum(size, found.at[hit] - low + 1)
-                    total = np.cumsum(size)
-                    place = np.arange(total[-1]) + np.repeat(low - (total - size), size)
-                    owner = np.repeat(found.owner[hit], size)
-                    place, some = np.unique(place, return_index=True)
-                    owner = owner[some]
-                    windows.append((Rolling(data).spans(place, place + WIDTH), ids[owner], mark[owner], place - start[owner]))
+                first = np.maximum(start[found.owner[hit]], found.at[hit] - (WIDTH - GRAM))
+                size = found.at[hit] - first + 1
+                total = np.cumsum(size)
+                place = np.arange(total[-1] if len(total) else 0) + np.repeat(first - (total - size), size)
+                anchor = np.repeat(hit, size)
+                good = found.least[place] == found.key[anchor]
+                place, anchor = place[good], anchor[good]
+                good = gone[place + WIDTH] - gone[place] < WIDTH
+                place, anchor = place[good], anchor[good]
+                if len(place):
+                    owner = found.owner[anchor]
+                    windows.append((Rolling(data).spans(place, place + WIDTH), found.key[anchor], ids[owner], mark[owner], place - start[owner]))
         if windows:
-            key, ids, mark, place = (np.concatenate(x) for x in zip(*windows, strict=True))
-            order, least = _firsts(key, np.zeros(len(key), np.uint64), ids)
-            key, ids, mark, place = key[order], ids[order], mark[order], place[order]
+            key, anchor, ids, mark, place = (np.concatenate(x) for x in zip(*windows, strict=True))
+            least = np.zeros(len(key), bool)
+            order, first = _firsts(key, np.zeros(len(key), np.uint64), ids)
+            least[order] = first
             done = ~least
             rows += deal(SPAN, home(ids[done], parts), (ids[done], 0), (mark[done], 4), (place[done], 5), (place[done] + WIDTH, 5))
-            key, ids, mark, place = key[least], ids[least], mark[least], place[least]
-            part = (key % np.uint64(parts)).astype(np.int64)
-            rows += deal(WINDOW, part, (key >> np.uint64(8), 7), (ids, 0), (mark, 4), (place, 5))
+            # Runs of windows of one anchor and text: a head each, and the windows' keys one after the other.
+            key, anchor, ids, mark, place = key[least], anchor[least], ids[least], mark[least], place[least]
+            part = (anchor % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            edges = np.concatenate([[0], np.flatnonzero(np.diff(part[order])) + 1, [len(order)]])
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                own = order[a:b]
+                new = np.ones(len(own), bool)
+                new[1:] = (ids[own][1:] != ids[own][:-1]) | (mark[own][1:] != mark[own][:-1]) | (place[own][1:] != place[own][:-1] + 1)
+                head = own[new]
+                length = np.diff(np.concatenate([np.flatnonzero(new), [len(own)]]))
+                if len(own):
+                    heads = pack((ids[head], 0), (mark[head], 4), (place[head], 5), (length, 4))
+                    rows.append((int(part[own[0]]), WINDOW, len(heads), heads + pack((key[own] >> np.uint64(8), 7))))
         return pa.Table.from_batches([batch(rows)])
 
     return run
@@ -215,7 +238,12 @@ def _last_sort(parts: int):
     def run(table: pa.Table) -> pa.Table:
         every = unbatch(table)
         rows = [r for r in every if r[1] == SPAN]
-        key, ids, mark, place = gather([r[3] for r in every if r[1] == WINDOW], 7, 0, 4, 5)
+        shown = [r for r in every if r[1] == WINDOW]
+        ids, mark, place, length = gather([r[3][: r[2]] for r in shown], 0, 4, 5, 4)
+        key, = gather([r[3][r[2] :] for r in shown], 7)
+        length = length.astype(np.int64)
+        inside = np.arange(len(key)) - np.repeat(np.cumsum(length) - length, length)
+        ids, mark, place = np.repeat(ids, length), np.repeat(mark, length), np.repeat(place, length) + inside.astype(np.uint64)
         order, least = _firsts(key, np.zeros(len(key), np.uint64), ids)
         again = order[~least]
         rows += deal(SPAN, home(ids[again], parts), (ids[again], 0), (mark[again], 4), (place[again], 5), (place[again] + np.uint64(WIDTH), 5))
@@ -240,7 +268,7 @@ def _apply(schema: T.StructType):
         order = np.argsort(ids, kind="stable")
         ids, mark, low, high = ids[order], mark[order], low[order].astype(np.int64), high[order].astype(np.int64)
         out: list[tuple] = []
-        for at, n, data, ends in text_blocks(docs["text"].combine_chunks()):
+        for at, n, data, ends in text_blocks(docs["text"].combine_chunks(), BLOCK):
             start = np.concatenate([[0], ends[:-1]])
             marks = _text_marks(data, ends)
             own = all_ids[at : at + n]
