@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .common import Rolling, lower_bytes, mix, stash, text_blocks, word_spans, words_of
+from .common import Rolling, lower_bytes, mix, stash, text_blocks, unstash, word_spans, words_of
 
 _EVEN = 0x5555555555555555
 
@@ -212,7 +212,8 @@ def shingle_sets(data: np.ndarray, ends: np.ndarray, width: int) -> list[np.ndar
     with np.errstate(over="ignore"):
         line = np.zeros(len(word), np.uint64)
         for i in range(width):
-            line[: len(word) - i] = mix(line[: len(word) - i] + word[i:])
+            upto = max(len(word) - i, 0)
+            line[:upto] = mix(line[:upto] + word[i:])
     sets = []
     for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
         if b - a >= width:
@@ -241,58 +242,170 @@ def nearest_links(cell: np.ndarray, fp: np.ndarray, distance: int) -> tuple[np.n
     return child, near[child]
 
 
-def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8, seeds: int = 5, distance: int = 4) -> DataFrame:
+#: Texts (one of so many, by hash) whose shingles are counted for the order by rarity; a shingle is common from
+#: that many of them; the most common ones that tasks get to know.  They bear on speed only.
+RARITY_SHARE, COMMON, COMMON_MOST = 16, 4, 250_000
+
+
+def prefixes(sets: list[np.ndarray], similarity: float, common: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rarest shingles of each set, and the set's number: sets of at least this Jaccard similarity share one.
+
+    A set of n shares ceil(similarity * n) shingles or more with any such set, so two sets that share none of
+    their first n - ceil(similarity * n) + 1 in one common order cannot be that similar.  The order is (weight in
+    the sorted ``common``, 0 elsewhere; hash); any order is right, rare first is fast."""
+    size = np.fromiter(map(len, sets), np.int64, len(sets))
+    flat = np.concatenate([*sets, np.zeros(0, np.uint64)])
+    owner = np.repeat(np.arange(len(sets)), size)
+    rank = np.zeros(len(flat), np.int64)
+    if len(common) and len(flat):
+        at = np.minimum(np.searchsorted(common, flat), len(common) - 1)
+        rank = np.where(common[at] == flat, weight[at], 0)
+    order = np.lexsort((flat, rank, owner))
+    place = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
+    some = order[place < prefix_length(size, similarity)[owner]]
+    return flat[some], owner[some]
+
+
+def prefix_length(size: np.ndarray, similarity: float) -> np.ndarray:
+    return size - np.ceil(similarity * size - 1e-6).astype(np.int64) + 1
+
+
+def _set_key(own: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(own.tobytes()) - (1 << 63)
+
+
+def _shared_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (cell, size, node), sorted, without repeats and without cells of one node; with each the first and
+    the previous node of its cell."""
+    names = ["cell", "size", "node", "head", "head_size", "prev", "prev_size"]
+    held: list[np.ndarray] = [np.zeros(0, np.int64)] * 3
+
+    def found(cell: np.ndarray, size: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
+        new = np.ones(len(cell), bool)
+        new[1:] = (cell[1:] != cell[:-1]) | (node[1:] != node[:-1])
+        cell, size, node = cell[new], size[new], node[new]
+        cut = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, np.int64)
+        count = np.diff(np.concatenate([cut, [len(cell)]]))
+        head = np.repeat(cut, count)
+        keep = np.flatnonzero(np.repeat(count, count) > 1)
+        head, prev = head[keep], np.maximum(keep - 1, head[keep])
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (cell[keep], size[keep], node[keep], node[head], size[head], node[prev], size[prev])], names)
+
+    waiting: list[list[np.ndarray]] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        some = [batch.column(i).to_numpy() for i in range(3)]
+        waiting.append(some)
+        if some[0][0] == some[0][-1] == waiting[0][0][0]:  # still the one cell
+            continue
+        held = [np.concatenate(c) for c in zip(*waiting, strict=True)]
+        whole = int(np.searchsorted(held[0], held[0][-1]))
+        yield found(*(c[:whole] for c in held))
+        waiting = [[c[whole:] for c in held]]
+    if waiting:
+        yield found(*(np.concatenate(c) for c in zip(*waiting, strict=True)))
+
+
+def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """(row_key, group, stays) for each distinct (doc_id, text) of docs: groups of near copies.
 
-    Candidates are texts whose sets of words have fingerprints within ``distance`` bits for one of ``seeds``
-    seeds, found on the popcount grid (a text is paired with the nearest earlier one of each of its cells; equal
-    texts and equal fingerprints need no search).  A candidate is a link if the Jaccard similarity of the sets of
-    ``width``-word shingles is at least ``similarity``, computed exactly.  Of each group, the components of the
-    links, the row of the smallest doc_id stays (null last).  Null texts count as empty and as copies of one
-    another.  row_key: xxhash64(doc_id, text).
+    Texts are linked if the Jaccard similarity of their sets of ``width``-word shingles is at least ``similarity``;
+    the groups are the components of all such links.  Every link is found: candidates share a cell, one of the
+    rarest shingles that the similarity forces them to share (see prefixes).  First each text is compared with the
+    first and the previous one of its cells; then, in every cell, all pairs that these links have not joined yet
+    and whose lengths and shared cells allow the similarity.  Each is computed exactly.  Of a group the row of the
+    smallest doc_id stays (null last).  Null texts count as empty and as copies of one another.
+    row_key: xxhash64(doc_id, text).
     """
-    keyed = docs.select("doc_id", row_key().alias("row_key"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), F.coalesce("text", F.lit("")).alias("text"))
+    spark = docs.sparkSession
+    keyed = docs.select("doc_id", row_key().alias("row_key"), F.coalesce("text", F.lit("")).alias("text"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, n, data, ends in text_blocks(batch.column(3)):
-                marks = pa.FixedSizeListArray.from_arrays(pa.array(word_marks(data, ends, seeds).T.ravel().view(np.int64)), seeds).cast(pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(at, n) for i in range(3)), marks], ["doc_id", "row_key", "text_key", "marks"])
+            for at, n, data, ends in text_blocks(batch.column(2)):
+                own = shingle_sets(data, ends, width)
+                node = np.array([_set_key(s) for s in own], np.int64)
+                shown = [s if k % RARITY_SHARE == 0 else s[:0] for s, k in zip(own, node.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(at, n) for i in range(2)), pa.array(node), _lists(shown)], ["doc_id", "row_key", "node", "sample"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = stash(keyed.mapInArrow(run, f"doc_id {kind}, row_key long, text_key long, marks array<long>"))
-    texts = rows.groupBy("text_key").agg(F.min_by("row_key", _order()).alias("node"), F.min_by("marks", _order()).alias("marks"))
-    texts = stash(texts)
-    found = None
-    for seed in range(seeds):
-        marked = texts.select("node", F.element_at("marks", seed + 1).alias("fp"))
-        heads = marked.groupBy("fp").agg(F.min("node").alias("head"))
-        same = marked.join(heads, "fp").filter("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
-        close = links(heads.select("fp"), distance, nearest=True)
-        left, right = heads.select(F.col("fp").alias("a"), F.col("head").alias("_a")), heads.select(F.col("fp").alias("b"), F.col("head").alias("_b"))
-        close = close.distinct().join(left, "a").join(right, "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
-        found = same.union(close) if found is None else found.union(same).union(close)
-    pairs = stash(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "row_key")
+    rows = stash(keyed.mapInArrow(marks, f"doc_id {kind}, row_key long, node long, sample array<long>"))
+    sampled = rows.filter(F.size("sample") > 0).groupBy("node").agg(F.first("sample").alias("sample"))
+    counted = sampled.select(F.explode("sample").alias("shingle")).groupBy("shingle").count().filter(F.col("count") >= COMMON)
+    top = counted.orderBy(F.desc("count"), "shingle").limit(COMMON_MOST).toPandas()
+    common, weight = top["shingle"].to_numpy(np.int64).view(np.uint64), top["count"].to_numpy(np.int64)
+    order = np.argsort(common)
+    known = spark.sparkContext.broadcast((common[order], weight[order]))
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # texts of one set need their cells once a task
+        for batch in batches:
+            for _, _, data, ends in text_blocks(batch.column(0)):
+                sets, nodes = [], []
+                for own in shingle_sets(data, ends, width):
+                    node = _set_key(own)
+                    if node not in seen:
+                        seen.add(node)
+                        sets.append(own)
+                        nodes.append(node)
+                cell, owner = prefixes(sets, similarity, *known.value)
+                size = np.fromiter(map(len, sets), np.int64, len(sets))
+                yield pa.RecordBatch.from_arrays([pa.array(cell.view(np.int64)), pa.array(size[owner].astype(np.int64)), pa.array(np.array(nodes, np.int64)[owner])], ["cell", "size", "node"])
+
+    cells = keyed.select("text").mapInArrow(spread, "cell long, size long, node long").repartition("cell").sortWithinPartitions("cell", "size", "node")
+    cells = stash(cells.mapInArrow(_shared_cells, "cell long, size long, node long, head long, head_size long, prev long, prev_size long"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, n, data, ends in text_blocks(batch.column(1)):
-                own = shingle_sets(data, ends, width)
-                flat = pa.array(np.concatenate([*own, np.zeros(0, np.uint64)]).view(np.int64))
-                offsets = pa.array(np.cumsum([0, *map(len, own)]).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, n), pa.ListArray.from_arrays(offsets, flat)], ["row_key", "shingles"])
-
-    shown = keyed.select("row_key", "text").join(wanted, "row_key").mapInArrow(sets, "row_key long, shingles array<long>")
-    shown = stash(shown.dropDuplicates(["row_key"]))
-    joined = pairs.join(shown.select(F.col("row_key").alias("a"), F.col("shingles").alias("x")), "a").join(shown.select(F.col("row_key").alias("b"), F.col("shingles").alias("y")), "b")
-    both = F.size(F.array_intersect("x", "y"))
-    linked = joined.filter(both >= F.lit(similarity) * (F.size("x") + F.size("y") - both)).select("a", "b")
-    roots = connected_components(linked)
-    grouped = rows.select("doc_id", "row_key", "text_key").join(texts.select("text_key", "node"), "text_key").join(roots, "node", "left")
-    grouped = stash(grouped.select("doc_id", "row_key", F.coalesce("root", "node").alias("group")))
-    first = grouped.groupBy("group").agg(F.min_by("row_key", _order()).alias("_stays"))
-    return grouped.join(first, "group").select("row_key", "group", (F.col("row_key") == F.col("_stays")).alias("stays")).distinct()
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, n), _lists(shingle_sets(data, ends, width))], ["node", "shingles"])
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Those of the pairs (a, b) that are similar."""
+        wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "node")
+        from_row = rows.join(wanted, "node").groupBy("node").agg(F.min("row_key").alias("row_key"))
+        shown = keyed.select("row_key", "text").join(from_row, "row_key").select("node", "text").mapInArrow(sets, "node long, shingles array<long>")
+        shown = stash(shown.dropDuplicates(["node"]))
+        joined = pairs.join(shown.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(shown.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
+        both = F.size(F.array_intersect("x", "y"))
+        made = stash(joined.filter(both >= F.lit(similarity) * (F.size("x") + F.size("y") - both)).select("a", "b"))
+        unstash(shown)
+        return made
+
+    # A spanning guess, so that the copies of one text are not compared all with all.
+    guess = cells.select(F.col("head").alias("a"), F.col("node").alias("b"), F.col("head_size").alias("low"), F.col("size").alias("high"))
+    guess = guess.union(cells.select("prev", "node", "prev_size", "size")).filter("a <> b").filter(F.col("low") >= F.lit(similarity) * F.col("high") - 1e-6)
+    guess = guess.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.first("high").alias("high")).filter("n * 20 >= high").select("a", "b")
+    guess = stash(guess)
+    first = linked(guess)
+    roots = stash(connected_components(first))
+
+    # All pairs of a cell that are not joined yet: those within the cell's most frequent group need no row.
+    rooted = cells.select("cell", "size", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    major = rooted.groupBy("cell", "root").count().groupBy("cell").agg(F.max_by("root", F.struct("count", "root")).alias("major"), F.count(F.lit(1)).alias("n"))
+    rooted = stash(rooted.join(major.filter("n > 1").select("cell", "major"), "cell").withColumn("major", F.col("root") == F.col("major")))
+    x = rooted.filter("NOT major").select("cell", F.col("node").alias("x"), F.col("root").alias("rx"), F.col("size").alias("nx"))
+    y = rooted.select("cell", F.col("node").alias("y"), F.col("root").alias("ry"), F.col("size").alias("ny"), "major")
+    low, high = F.least("nx", "ny"), F.greatest("nx", "ny")
+    met = x.join(y, "cell").filter("rx <> ry AND (major OR x < y)").filter(low >= F.lit(similarity) * high - 1e-6)
+    met = met.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count(F.lit(1)).alias("n"), F.first(low).alias("low"), F.first(high).alias("high"))
+    # What two sets share is at most their common cells and one set's shingles outside its cells: the set whose
+    # last cell comes first has all its shared cells in the other's.  The longer one has more outside.
+    needed = F.ceil(F.lit(similarity / (1 + similarity)) * (F.col("low") + F.col("high")) - 1e-6)
+    outside = F.ceil(F.lit(similarity) * F.col("high") - 1e-6) - 1
+    rest = stash(met.filter(F.col("n") + outside >= needed).select("a", "b").join(guess, ["a", "b"], "left_anti").join(guess.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"))
+    roots = stash(connected_components(first.union(linked(rest))))
+    grouped = stash(rows.join(roots, "node", "left").select("doc_id", "row_key", F.coalesce("root", "node").alias("group")))
+    least = grouped.groupBy("group").agg(F.min_by("row_key", _order()).alias("_stays"))
+    for done in (rows, cells, rooted, guess, first, rest):
+        unstash(done)
+    return grouped.join(least, "group").select("row_key", "group", (F.col("row_key") == F.col("_stays")).alias("stays")).distinct()
+
+
+def _lists(sets: list[np.ndarray]) -> pa.ListArray:
+    offsets = pa.array(np.cumsum([0, *map(len, sets)]).astype(np.int32))
+    return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)))
 
 
 def row_key() -> Column:

@@ -344,6 +344,23 @@ def test_near_copies(spark):
     assert simhash.drop_near_copies(table.limit(0)).count() == 0
 
 
+def test_near_copies_cut_and_continued(spark):
+    """Copies that stop early or go on are found down to the similarity asked for, and none below it."""
+    rnd = random.Random(17)
+    table, stay = [], []
+    for i, n in enumerate([100, 201, 400, 1001] * 6):
+        text = [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+        much = [0.8, 0.81, 0.85, 0.9, 0.95, 0.79][i // 4]
+        total = (math.floor if much >= 0.8 else math.ceil)((n - 4) / much) + 4
+        copy = text + [f"v{rnd.randrange(10**6)}" for _ in range(total - n)]
+        assert ((n - 4) / (total - 4) >= 0.8) == (much >= 0.8)
+        pair = [text, copy] if i % 2 else [copy, text]
+        table += [(2 * i + j, " ".join(t), "", "", 0) for j, t in enumerate(pair)]
+        stay += [2 * i] if much >= 0.8 else [2 * i, 2 * i + 1]
+    made = simhash.drop_near_copies(spark.createDataFrame(table, SCHEMA).repartition(3))
+    assert sorted(r.doc_id for r in made.collect()) == stay
+
+
 def test_pipeline(spark, tmp_path, rows):
     import corpus_pipeline
 
