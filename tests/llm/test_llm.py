@@ -361,6 +361,19 @@ def test_near_copies_cut_and_continued(spark):
     assert sorted(r.doc_id for r in made.collect()) == stay
 
 
+def test_near_copies_behind_another_partner(spark):
+    """A copy is found though other texts of the same words, which are no copies, come before it."""
+    rnd = random.Random(23)
+    table = []
+    for i in range(5):
+        bag = [f"k{i}x{rnd.randrange(10**6)}" for _ in range(300)]
+        orders = [rnd.sample(bag, len(bag)) for _ in range(4)]
+        table += [(10 * i + j, " ".join(o), "", "", 0) for j, o in enumerate(orders)]
+        table.append((10 * i + 9, " ".join(orders[3] + orders[3][40:52]), "", "", 0))
+    made = simhash.drop_near_copies(spark.createDataFrame(table, SCHEMA).repartition(3))
+    assert sorted(r.doc_id for r in made.collect()) == [10 * i + j for i in range(5) for j in range(4)]
+
+
 def test_pipeline(spark, tmp_path, rows):
     import corpus_pipeline
 
