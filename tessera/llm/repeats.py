@@ -184,12 +184,12 @@ def _last_pass(parts: int):
                 low, high, owner = found.left[hit], found.right[hit], found.owner[hit]
                 mark = _text_marks(data, ends)
                 rows += deal(SPAN, home(ids[owner], parts), (ids[owner], 0), (mark[owner], 4), (low - start[owner], 5), (high - start[owner], 5))
-                # Windows whose smallest gram is a wanted anchor; those inside a span that goes are shown by a
-                # smaller document, so they needn't be shown again.
-                gone = np.zeros(len(data) + 1, np.int64)
-                np.add.at(gone, low, 1)
-                np.add.at(gone, high, -1)
-                gone = np.concatenate([[0], np.cumsum(np.cumsum(gone[:-1]) > 0)])
+                # Windows whose smallest gram is a wanted anchor; those inside one single context that goes are
+                # shown by a smaller document, so they needn't be shown again.  A window over the junction of two
+                # contexts may be in no smaller document.
+                upto = np.zeros(len(data) + 1, np.int64)
+                np.maximum.at(upto, low, high)
+                upto = np.maximum.accumulate(upto)
                 hit = np.flatnonzero(_match(found.owner, cut, ids, *wanted))
                 first = np.maximum(start[found.owner[hit]], found.at[hit] - (WIDTH - GRAM))
                 size = found.at[hit] - first + 1
@@ -198,7 +198,7 @@ def _last_pass(parts: int):
                 anchor = np.repeat(hit, size)
                 good = found.least[place] == found.key[anchor]
                 place, anchor = place[good], anchor[good]
-                good = gone[place + WIDTH] - gone[place] < WIDTH
+                good = upto[place] < place + WIDTH
                 place, anchor = place[good], anchor[good]
                 if len(place):
                     owner = found.owner[anchor]

@@ -232,6 +232,18 @@ def test_repeats(docs, none, rows):
     assert made[None][0].n_removed == 0 and repeats.remove_repeats(none).count() == 0
 
 
+def test_repeats_over_a_junction(spark):
+    """A string over the junction of two removed passages counts as seen, though no smaller document has it."""
+    rnd = random.Random(31)
+    table, size = [], {}
+    for i in range(60):
+        text = "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(240))
+        table += [(4 * i + j, text[a:b], "", "", 0) for j, (a, b) in enumerate([(0, 130), (120, 240), (0, 240), (100, 150)])]
+        size |= {4 * i + 3: 50}
+    removed = {r.doc_id: r.n_removed for r in repeats.remove_repeats(spark.createDataFrame(table, SCHEMA).repartition(3)).collect()}
+    assert {i: removed[i] for i in size} == size
+
+
 def test_repeats_many_copies(spark):
     """A passage that every document has costs a task one record, and is cut from all but the first."""
     passage = "".join(random.Random(5).choice("abcdefgh ") for _ in range(200))
