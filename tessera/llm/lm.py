@@ -5,10 +5,11 @@ share one parent, the restaurant of single words, whose customers are their tabl
 uniform over the training words and one unknown.  Seatings are sampled by Gibbs; what a text is scored with is
 the predictive probability averaged over the samples.
 
-The corpus is learnt in three passes over blocks of documents.  A block sends its distinct words and pairs with
+The corpus is learnt in four passes over blocks of documents: counts; types (one table a pair), whose sums over all
+blocks are each restaurant's first tables; a seating under these sums, which replaces them; scores.  A block sends its distinct words and pairs with
 their counts, hashed and packed, to parts that add them up, and gets back only what differs from its own counts;
-so nothing of the corpus' size is broadcast or collected, and the driver sees a few sums a part.  A block's random
-numbers are seeded by its sorted dishes, so reruns agree.
+so nothing of the corpus' size is broadcast or collected, and the driver sees a few sums a part.  A block's random numbers are seeded by its sorted
+dishes, so reruns agree; tables travel as whole numbers.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ END = np.uint64(0x1D8AF066F21B9A35)  #: the hash that stands for the end of a te
 PART_BYTES = 5 << 20  #: text bytes in a block
 SINGLY = 16  #: dishes of more customers are seated anew each sweep, later arrivals in batches
 SWEEPS, BURN = 4, 1
+KEPT = SWEEPS - BURN
 #: Strengths of the pair and the word restaurants; the discounts come from counts of counts.
 STRENGTH_PAIR, STRENGTH_WORD = 1.0, 10.0
 WORD, PAIR, PAIR_ONCE, PAIR_NEVER, STATS, TABLES = range(6)
@@ -228,22 +230,33 @@ def _learned(docs: pa.Table, told: pa.Table):
     return block, every, words, pairs, first
 
 
-def _seat_pairs(parts: int, stats: dict):
-    """Tables of the block's own pairs under a first guess at the parent: sums by preceding word and by word."""
+def _restaurants(block: Block, every: list, stats: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Of each of the block's words: the tables of its restaurant, and its probability in the word restaurant."""
+    key, left, right, tables = gather([r[3] for r in every if r[1] == TABLES], 7, 6, 6, 6)
+    cut = block.words >> _W
+    order = np.argsort(cut, kind="stable")
+    at = order[np.searchsorted(cut[order], key)]
+    rooms, customers, own = np.zeros(len(cut)), np.zeros(len(cut)), np.zeros(len(cut))
+    rooms[at], customers[at], own[at] = left / KEPT, right, tables / KEPT
+    single = np.maximum(customers - stats["d1"] * own, 0) / (STRENGTH_WORD + stats["c"])
+    single += (STRENGTH_WORD + stats["d1"] * stats["t"]) / (STRENGTH_WORD + stats["c"]) / (stats["v"] + 1)
+    return rooms, single
+
+
+def _seat_pairs(parts: int, stats: dict, sampled: bool):
+    """Tables of the pairs that the block is the first to have, as sums over the kept sweeps by preceding word and
+    by word: one each, or a seating under the whole corpus' tables of the round before."""
 
     def run(docs: pa.Table, told: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return pa.Table.from_batches([batch([])])
-        block, _, words, pairs, first = _learned(docs, told)
+        block, every, _, pairs, first = _learned(docs, told)
         own = np.flatnonzero(first & (pairs > 0))
-        parent = (words[block.right[own]] + 0.5) / (stats["n"] + 0.5 * stats["v"] + 1)
-        kinds = np.bincount(block.left[own], minlength=len(block.words))
-        local = np.maximum(np.bincount(block.left, weights=block.pair_count, minlength=len(block.words)), 1)
-        guess = words[block.left[own]] * np.minimum(1, kinds[block.left[own]] / local[block.left[own]])
-        tables = seat(block.pairs[own], pairs[own], parent, guess, stats["d2"], STRENGTH_PAIR)[BURN:].mean(0)
-        by_left = np.bincount(block.left[own], weights=tables, minlength=len(block.words))
-        by_right = np.bincount(block.right[own], weights=tables, minlength=len(block.words))
-        columns = [(np.rint(64 * x).astype(np.int64), 6) for x in (by_left, by_right)]
+        tables = np.full(len(own), KEPT)
+        if sampled:
+            rooms, single = _restaurants(block, every, stats)
+            tables = seat(block.pairs[own], pairs[own], single[block.right[own]], rooms[block.left[own]], stats["d2"], STRENGTH_PAIR)[BURN:].sum(0)
+        columns = [(np.bincount(side[own], weights=tables, minlength=len(block.words)).astype(np.int64), 6) for side in (block.left, block.right)]
         rows = deal(TABLES, (block.words % np.uint64(parts)).astype(np.int64), (block.words >> _W, 7), *columns, src=docs["_part"][0].as_py())
         return pa.Table.from_batches([batch([*rows])])
 
@@ -259,14 +272,13 @@ def _seat_words(stats: dict):
         src = np.concatenate([np.full(len(r[1]), r[0]) for r in every])
         order, key, lefts, group, src, new = _groups(key, left.astype(np.float64), src)
         rights = np.bincount(group, weights=right[order].astype(np.float64))
-        lefts, customers = lefts / 64, np.rint(rights / 64).astype(np.int64)
+        customers = np.rint(rights / KEPT).astype(np.int64)
         some = np.flatnonzero(customers > 0)
-        # The part is a random share of the words: its tables, scaled up, stand for the restaurant's.
-        share = max(len(some), 1) / max(stats["v"], 1)
-        tables = np.zeros(len(customers))
-        other = np.full(len(some), 0.7 * len(some) / share)
-        tables[some] = seat(key[new][some], customers[some], np.full(len(some), 1 / (stats["v"] + 1)), other, stats["d1"], STRENGTH_WORD)[BURN:].mean(0)
-        columns = [(np.rint(64 * x[group]).astype(np.int64), 6) for x in (lefts, customers, tables)]
+        tables = np.zeros(len(customers), np.int64)
+        # Own tables are one at least; the rest of the restaurant is as the round before left it.
+        other = np.full(len(some), max(stats["t"] - 1, 0))
+        tables[some] = seat(key[new][some], customers[some], np.full(len(some), 1 / (stats["v"] + 1)), other, stats["d1"], STRENGTH_WORD)[BURN:].sum(0)
+        columns = [(x[group].astype(np.int64), 6) for x in (lefts, customers, tables)]
         rows = [*_tell(TABLES, key, 7, src, *columns), (-1, STATS, 0, np.array([customers.sum(), tables.sum()], np.float64).tobytes())]
         return pa.Table.from_batches([batch(rows)])
 
@@ -280,14 +292,7 @@ def _score(schema: T.StructType, stats: dict):
         if not docs.num_rows:
             return arrow.empty_table()
         block, every, words, pairs, _ = _learned(docs, told)
-        key, left, right, tables = gather([r[3] for r in every if r[1] == TABLES], 7, 6, 6, 6)
-        cut = block.words >> _W
-        order = np.argsort(cut, kind="stable")
-        at = order[np.searchsorted(cut[order], key)]
-        rooms, customers, own = np.zeros(len(cut)), np.zeros(len(cut)), np.zeros(len(cut))
-        rooms[at], customers[at], own[at] = left / 64, right / 64, tables / 64
-        single = np.maximum(customers - stats["d1"] * own, 0) / (STRENGTH_WORD + stats["c"])
-        single += (STRENGTH_WORD + stats["d1"] * stats["t"]) / (STRENGTH_WORD + stats["c"]) / (stats["v"] + 1)
+        rooms, single = _restaurants(block, every, stats)
         before = words[block.left]  # customers of the preceding word's restaurant
         share = (STRENGTH_PAIR + stats["d2"] * rooms[block.left]) / (STRENGTH_PAIR + before)
         share[before == 0] = 1
@@ -334,13 +339,17 @@ def score_texts(docs: DataFrame, held: Column | None = None) -> DataFrame:
     discount = min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.5
     stats = {"n": n, "v": v, "d2": discount, "d1": 0.7}
     known = counted.filter("part >= 0")
-    seated = rows.groupBy("_part").cogroup(known.groupBy("part")).applyInArrow(_seat_pairs(parts, stats), ROWS)
-    seated = stash(seated.groupBy("part").applyInArrow(_seat_words(stats), ROWS))
-    tidy(spark)
-    c, t = _stats(seated, np.float64)[:2]
+    stats |= {"c": 0.0, "t": float(v)}
+    told = known
+    for sampled in (False, True):
+        seated = rows.groupBy("_part").cogroup(told.groupBy("part")).applyInArrow(_seat_pairs(parts, dict(stats), sampled), ROWS)
+        seated = stash(seated.groupBy("part").applyInArrow(_seat_words(dict(stats)), ROWS))
+        tidy(spark)
+        c, t = _stats(seated, np.float64)[:2]
+        stats |= {"c": float(c), "t": float(t) / KEPT}
+        told = known.unionByName(seated.filter("part >= 0"))
     schema = T.StructType([docs.schema["doc_id"], T.StructField("held_out", T.BooleanType())] + [T.StructField(k, T.LongType()) for k in ("n_tokens", "n_known", "train_tokens")] + [T.StructField(k, T.DoubleType()) for k in ("base_score", "score")])
-    told = known.unionByName(seated.filter("part >= 0"))
-    return rows.groupBy("_part").cogroup(told.groupBy("part")).applyInArrow(_score(schema, stats | {"c": float(c), "t": float(t)}), schema)
+    return rows.groupBy("_part").cogroup(told.groupBy("part")).applyInArrow(_score(schema, stats), schema)
 
 
 def perplexity(scored: DataFrame) -> DataFrame:
