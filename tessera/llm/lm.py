@@ -8,12 +8,15 @@ the predictive probability averaged over the samples.
 The corpus is learnt in four passes over blocks of documents: counts; types (one table a pair), whose sums over all
 blocks are each restaurant's first tables; a seating under these sums, which replaces them; scores.  A block sends its distinct words and pairs with
 their counts, hashed and packed, to parts that add them up, and gets back only what differs from its own counts;
-so nothing of the corpus' size is broadcast or collected, and the driver sees a few sums a part.  A block's random numbers are seeded by its sorted
-dishes, so reruns agree; tables travel as whole numbers.
+so nothing of the corpus' size is broadcast or collected, and the driver sees a few sums a part.  Random numbers
+are hashes of the dish and the step, and tables travel as whole numbers: every block that needs a dish samples the
+same seating, however the corpus is cut into blocks.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -36,6 +39,14 @@ WORD, PAIR, PAIR_ONCE, PAIR_NEVER, STATS, TABLES = range(6)
 _W, _P = np.uint64(8), np.uint64(16)
 
 
+def draw(dish: np.ndarray, *step: int) -> np.ndarray:
+    """Uniform numbers in (0, 1) by dish and step."""
+    salt = np.uint64(0)
+    for s in step:
+        salt = mix(np.array([salt + np.uint64(s + 1)]))[0]
+    return ((mix(dish ^ salt) >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53)
+
+
 def seat(dish: np.ndarray, customers: np.ndarray, parent: np.ndarray, other: np.ndarray, discount: float, strength: float, sweeps: int = SWEEPS) -> np.ndarray:
     """Numbers of tables, a row a sweep, of dishes with ``customers``; parent: the dish's probability there;
     other: tables of the restaurant's other dishes.
@@ -44,54 +55,55 @@ def seat(dish: np.ndarray, customers: np.ndarray, parent: np.ndarray, other: np.
     size n in proportion to n - discount, at a new one to (strength + discount * tables) * parent.  Larger ones:
     the first SINGLY arrivals one by one, then batches of a twentieth of those seated.
     """
-    rng = np.random.default_rng(int(np.bitwise_xor.reduce(dish)) if len(dish) else 0)
     tables = np.zeros((sweeps, len(dish)), np.int64)
     tables[:, customers == 1] = 1
     small = np.flatnonzero((customers > 1) & (customers <= SINGLY))
     for at in range(0, len(small), 400_000):
         pick = small[at : at + 400_000]
-        tables[:, pick] = _gibbs(rng, customers[pick], parent[pick], other[pick], discount, strength, sweeps)
+        tables[:, pick] = _gibbs(dish[pick], customers[pick], parent[pick], other[pick], discount, strength, sweeps)
     large = np.flatnonzero(customers > SINGLY)
     if len(large):
-        tables[:, large] = _arrivals(rng, customers[large], parent[large], other[large], discount, strength, sweeps)
+        tables[:, large] = _arrivals(dish[large], customers[large], parent[large], other[large], discount, strength, sweeps)
     return tables
 
 
-def _gibbs(rng, customers, parent, other, discount, strength, sweeps) -> np.ndarray:
+def _gibbs(dish, customers, parent, other, discount, strength, sweeps) -> np.ndarray:
     order = np.argsort(-customers, kind="stable")
-    customers, parent, other = customers[order], parent[order], other[order]
+    dish, customers, parent, other = dish[order], customers[order], parent[order], other[order]
     first = np.cumsum(customers) - customers
     table_of = np.zeros(int(customers.sum()), np.int64)
     size = np.zeros(len(table_of), np.int64)
     size[first] = customers
-    count = np.ones(len(customers), np.int64)
-    out = np.zeros((sweeps, len(customers)), np.int64)
+    count = np.ones(len(dish), np.int64)
+    out = np.zeros((sweeps, len(dish)), np.int64)
     for sweep in range(sweeps):
         for j in range(int(customers[0])):
             n = int(np.searchsorted(-customers, -j, side="left"))  # dishes of over j customers
-            row, c = first[:n], customers[:n]
+            row, c, own = first[:n], customers[:n], dish[:n]
             left = row + table_of[row + j]
             size[left] -= 1
             count[:n] -= size[left] == 0
             old = c - 1 - discount * count[:n]
             new = (strength + discount * (other[:n] + count[:n])) * parent[:n]
-            fresh = rng.random(n) * (old + new) < new
+            fresh = draw(own, sweep, j) * (old + new) < new
             # An old table: that of a random other customer, kept with probability (n - discount) / n.
-            wait = np.flatnonzero(~fresh)
+            wait, attempt = np.flatnonzero(~fresh), 0
             while len(wait):
-                who = (rng.random(len(wait)) * (c[wait] - 1)).astype(np.int64)
+                attempt += 1
+                who = (draw(own[wait], sweep, j, 2 * attempt) * (c[wait] - 1)).astype(np.int64)
                 who += who >= j
                 chosen = table_of[row[wait] + who]
                 n_there = size[row[wait] + chosen]
-                good = rng.random(len(wait)) * n_there < n_there - discount
+                good = draw(own[wait], sweep, j, 2 * attempt + 1) * n_there < n_there - discount
                 done = wait[good]
                 table_of[row[done] + j] = chosen[good]
                 size[row[done] + chosen[good]] += 1
                 wait = wait[~good]
-            wait = np.flatnonzero(fresh)
+            wait, attempt = np.flatnonzero(fresh), 0
             count[:n] += fresh
             while len(wait):  # a free number for the new table
-                label = (rng.random(len(wait)) * c[wait]).astype(np.int64)
+                attempt += 1
+                label = (draw(own[wait], sweep, j, 9000 + attempt) * c[wait]).astype(np.int64)
                 good = size[row[wait] + label] == 0
                 done = wait[good]
                 table_of[row[done] + j] = label[good]
@@ -101,16 +113,19 @@ def _gibbs(rng, customers, parent, other, discount, strength, sweeps) -> np.ndar
     return out
 
 
-def _arrivals(rng, customers, parent, other, discount, strength, sweeps) -> np.ndarray:
-    out = np.zeros((sweeps, len(customers)), np.int64)
+def _arrivals(dish, customers, parent, other, discount, strength, sweeps) -> np.ndarray:
+    out = np.zeros((sweeps, len(dish)), np.int64)
     for sweep in range(sweeps):
-        seated, count = np.ones(len(customers)), np.ones(len(customers))
+        seated, count, step = np.ones(len(dish), np.float64), np.ones(len(dish), np.float64), 0
         while (seated < customers).any():
+            step += 1
             some = np.where(seated < SINGLY, 1, np.maximum(1, np.floor(seated / 20))).clip(0, customers - seated)
             new = (strength + discount * (other + count)) * parent
             chance = new / (seated - discount * count + new)
             mean, spread = some * chance, np.sqrt(some * chance * (1 - chance))
-            count += np.where(some == 1, rng.random(len(some)) < chance, np.rint(mean + spread * rng.standard_normal(len(some)))).clip(0, some)
+            u = draw(dish, sweep, step)
+            near = np.sqrt(-2 * np.log(u)) * np.cos(2 * math.pi * draw(dish, sweep, step, 1))
+            count += np.where(some == 1, u < chance, np.rint(mean + spread * near)).clip(0, some)
             seated += some
         out[sweep] = count
     return out

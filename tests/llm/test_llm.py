@@ -118,6 +118,23 @@ def test_lm(docs, none, rows):
     assert lm.score_texts(none).count() == 0
 
 
+def test_lm_equal_texts_score_equally(spark):
+    """Scores do not depend on the doc_id, the blocks or the number of partitions."""
+    rnd = random.Random(41)
+    bag = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rnd.choice(bag[: rnd.choice([5, 20, 60])]) for _ in range(80)) for _ in range(40)]
+    table = spark.createDataFrame([(i, texts[i % 40], "", "", 0) for i in range(120)], SCHEMA)
+    before, scores = spark.conf.get("spark.sql.shuffle.partitions"), collections.defaultdict(list)
+    try:
+        for n in ("1", "7"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            for r in lm.score_texts(table, F.col("doc_id") % 9 == 4).collect():
+                scores[r.doc_id % 40].append(r.score)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert all(len(s) == 6 and max(s) - min(s) < 1e-9 for s in scores.values())
+
+
 def test_lm_seating():
     dish = lm.mix(np.arange(1, 2001, dtype=np.uint64))
     for customers in (1, 2, 30, 500):
