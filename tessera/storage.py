@@ -30,14 +30,12 @@ def stash(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder as Parquet and read it back: lineage is cut, files survive executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stash-{uuid.uuid4().hex}"
-    before = spark.conf.get(CLEANUP, None)
-    if before is not None:  # the written files replace the shuffle files, which can go at once
-        spark.conf.set(CLEANUP, "true")
+    before = spark.conf.get(CLEANUP, None)  # None where it is not set
+    spark.conf.set(CLEANUP, "true")  # the written files replace the shuffle files, which can go at once
     try:
         df.write.parquet(path)
     finally:
-        if before is not None:
-            spark.conf.set(CLEANUP, before)
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
