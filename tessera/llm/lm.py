@@ -2,21 +2,22 @@
 
 Each word that precedes another has a restaurant; its dishes are the words that follow.  All these restaurants
 share one parent, the restaurant of single words, whose customers are their tables, and whose own base is
-uniform over the training words and one unknown.  Seatings are sampled by Gibbs; what a text is scored with is
-the predictive probability averaged over the samples.
-
-The corpus is learnt in four passes over blocks of documents: counts; types (one table a pair), whose sums over all
-blocks are each restaurant's first tables; a seating under these sums, which replaces them; scores.  A block sends its distinct words and pairs with
-their counts, hashed and packed, to parts that add them up, and gets back only what differs from its own counts;
-so nothing of the corpus' size is broadcast or collected, and the driver sees a few sums a part.  Random numbers
-are hashes of the dish and the step, and tables travel as whole numbers: every block that needs a dish samples the
-same seating, however the corpus is cut into blocks.
+uniform over the training words and one unknown.  Seatings are sampled by Gibbs (seating.py draws each dish's
+tables from their exact conditional, whatever its customers); a round seats all dishes under the tables and parent
+probabilities that the round before left, all restaurants at once, and its tables become the customers of the
+word restaurant.  A text is scored with the predictive probability averaged over the rounds after BURN; each
+round's discount and back-off come from the same seating, so every context's probabilities sum to 1.
+
+The corpus is learnt over blocks of documents.  A block sends its distinct words and pairs, hashed and packed, to
+the parts that own them; these add up the counts and answer in the same order, so an answer needs no keys.  Each
+pair is then written down once, by the first block that has it; the rounds run over these rows alone and exchange
+tables by word.  The last pass reads the texts again: random numbers are hashes of the dish and the round, so every
+block draws the same tables for a pair as the block that wrote it down.  Nothing of the corpus' size is broadcast
+or collected; the driver sees a few sums a part.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -25,110 +26,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import Rolling, lower_bytes, mix, stash, text_blocks, tidy, word_spans
-from .packed import ROWS, batch, deal, gather, home_column, unbatch
+from .common import Rolling, mix, stash, unstash, word_spans
+from .packed import ROWS, batch, deal_sorted, home_column, pack, small, unbatch, undeal, unpack, unsmall
+from .seating import seat
 
 END = np.uint64(0x1D8AF066F21B9A35)  #: the hash that stands for the end of a text
-PART_BYTES = 5 << 20  #: text bytes in a block
-SINGLY = 16  #: dishes of more customers are seated anew each sweep, later arrivals in batches
-SWEEPS, BURN = 4, 1
-KEPT = SWEEPS - BURN
+PART_BYTES = 8 << 20  #: text bytes in a block
+ROUNDS, BURN = 4, 1
 #: Strengths of the pair and the word restaurants; the discounts come from counts of counts.
 STRENGTH_PAIR, STRENGTH_WORD = 1.0, 10.0
-WORD, PAIR, PAIR_ONCE, PAIR_NEVER, STATS, TABLES = range(6)
-_W, _P = np.uint64(8), np.uint64(16)
-
-
-def draw(dish: np.ndarray, *step: int) -> np.ndarray:
-    """Uniform numbers in (0, 1) by dish and step."""
-    salt = np.uint64(0)
-    for s in step:
-        salt = mix(np.array([salt + np.uint64(s + 1)]))[0]
-    return ((mix(dish ^ salt) >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53)
-
-
-def seat(dish: np.ndarray, customers: np.ndarray, parent: np.ndarray, other: np.ndarray, discount: float, strength: float, sweeps: int = SWEEPS) -> np.ndarray:
-    """Numbers of tables, a row a sweep, of dishes with ``customers``; parent: the dish's probability there;
-    other: tables of the restaurant's other dishes.
-
-    Dishes of at most SINGLY customers: every sweep takes each customer up and seats him again, at a table of
-    size n in proportion to n - discount, at a new one to (strength + discount * tables) * parent.  Larger ones:
-    the first SINGLY arrivals one by one, then batches of a twentieth of those seated.
-    """
-    tables = np.zeros((sweeps, len(dish)), np.int64)
-    tables[:, customers == 1] = 1
-    small = np.flatnonzero((customers > 1) & (customers <= SINGLY))
-    for at in range(0, len(small), 400_000):
-        pick = small[at : at + 400_000]
-        tables[:, pick] = _gibbs(dish[pick], customers[pick], parent[pick], other[pick], discount, strength, sweeps)
-    large = np.flatnonzero(customers > SINGLY)
-    if len(large):
-        tables[:, large] = _arrivals(dish[large], customers[large], parent[large], other[large], discount, strength, sweeps)
-    return tables
-
-
-def _gibbs(dish, customers, parent, other, discount, strength, sweeps) -> np.ndarray:
-    order = np.argsort(-customers, kind="stable")
-    dish, customers, parent, other = dish[order], customers[order], parent[order], other[order]
-    first = np.cumsum(customers) - customers
-    table_of = np.zeros(int(customers.sum()), np.int64)
-    size = np.zeros(len(table_of), np.int64)
-    size[first] = customers
-    count = np.ones(len(dish), np.int64)
-    out = np.zeros((sweeps, len(dish)), np.int64)
-    for sweep in range(sweeps):
-        for j in range(int(customers[0])):
-            n = int(np.searchsorted(-customers, -j, side="left"))  # dishes of over j customers
-            row, c, own = first[:n], customers[:n], dish[:n]
-            left = row + table_of[row + j]
-            size[left] -= 1
-            count[:n] -= size[left] == 0
-            old = c - 1 - discount * count[:n]
-            new = (strength + discount * (other[:n] + count[:n])) * parent[:n]
-            fresh = draw(own, sweep, j) * (old + new) < new
-            # An old table: that of a random other customer, kept with probability (n - discount) / n.
-            wait, attempt = np.flatnonzero(~fresh), 0
-            while len(wait):
-                attempt += 1
-                who = (draw(own[wait], sweep, j, 2 * attempt) * (c[wait] - 1)).astype(np.int64)
-                who += who >= j
-                chosen = table_of[row[wait] + who]
-                n_there = size[row[wait] + chosen]
-                good = draw(own[wait], sweep, j, 2 * attempt + 1) * n_there < n_there - discount
-                done = wait[good]
-                table_of[row[done] + j] = chosen[good]
-                size[row[done] + chosen[good]] += 1
-                wait = wait[~good]
-            wait, attempt = np.flatnonzero(fresh), 0
-            count[:n] += fresh
-            while len(wait):  # a free number for the new table
-                attempt += 1
-                label = (draw(own[wait], sweep, j, 9000 + attempt) * c[wait]).astype(np.int64)
-                good = size[row[wait] + label] == 0
-                done = wait[good]
-                table_of[row[done] + j] = label[good]
-                size[row[done] + label[good]] = 1
-                wait = wait[~good]
-        out[sweep, order] = count
-    return out
-
-
-def _arrivals(dish, customers, parent, other, discount, strength, sweeps) -> np.ndarray:
-    out = np.zeros((sweeps, len(dish)), np.int64)
-    for sweep in range(sweeps):
-        seated, count, step = np.ones(len(dish), np.float64), np.ones(len(dish), np.float64), 0
-        while (seated < customers).any():
-            step += 1
-            some = np.where(seated < SINGLY, 1, np.maximum(1, np.floor(seated / 20))).clip(0, customers - seated)
-            new = (strength + discount * (other + count)) * parent
-            chance = new / (seated - discount * count + new)
-            mean, spread = some * chance, np.sqrt(some * chance * (1 - chance))
-            u = draw(dish, sweep, step)
-            near = np.sqrt(-2 * np.log(u)) * np.cos(2 * math.pi * draw(dish, sweep, step, 1))
-            count += np.where(some == 1, u < chance, np.rint(mean + spread * near)).clip(0, some)
-            seated += some
-        out[sweep] = count
-    return out
+WORD, PAIR, STATS, OWN, TABLES = range(5)  #: kinds of rows; TABLES + r: those of round r
 
 
 def held_out(doc_id: Column | str) -> Column:
@@ -138,189 +45,217 @@ def held_out(doc_id: Column | str) -> Column:
 
 
 class Block:
-    """A block's tokens: word and preceding word (END before the first and for the end), text number, training."""
+    """A block's tokens as places in its sorted distinct words and pairs.
+
+    words, pairs: hashes; word_count, pair_count: places in training texts; word_of, pair_of, owner: of each token;
+    left, right: of each pair, places in words.  END precedes a text's first word and is its last token."""
 
     def __init__(self, docs: pa.Table):
-        words, owners = [], []
-        base = 0
-        flags = docs["_train"].combine_chunks().to_numpy(zero_copy_only=False) if docs.num_rows else np.zeros(0, bool)
-        for at, n, data, ends in text_blocks(docs["text"].combine_chunks(), 1 << 20) if docs.num_rows else ():
-            start, stop = word_spans(data)
-            word = Rolling(lower_bytes(data)).spans(start, stop)
-            owner = np.searchsorted(ends, start, side="right")
-            token = np.full(len(word) + n, END, np.uint64)
-            token[np.arange(len(word)) + owner] = word
-            count = np.bincount(owner, minlength=n)[:n] + 1
-            words.append(token)
-            owners.append(np.repeat(np.arange(base, base + n), count))
-            base += n
-        self.token = np.concatenate(words) if words else np.zeros(0, np.uint64)
-        self.owner = np.concatenate(owners) if owners else np.zeros(0, np.int64)
-        self.docs = base
-        before = np.concatenate([[END], self.token[:-1]]) if len(self.token) else self.token
-        known = flags[self.owner] if len(self.owner) else np.zeros(0, bool)
-        self.words, self.first_word, self.word_of, self.word_count = _distinct(self.token, known)
+        texts = [t or b"" for t in docs["text"].cast(pa.large_binary()).to_pylist()]
+        raw = b"\n".join([*texts, b""]).lower()
+        start, stop = word_spans(np.frombuffer(raw, np.uint8))
+        owner = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), start, side="right")
+        hashes, code = _word_hashes(raw, start, stop)
+        self.words, rank = np.unique(np.append(hashes, END), return_inverse=True)
+        n = self.docs = len(texts)
+        word = np.full(len(code) + n, rank[-1])
+        word[np.arange(len(code)) + owner] = rank[code]
+        self.word_of = word
+        self.owner = np.repeat(np.arange(n), np.bincount(owner, minlength=n) + 1)
+        before = np.concatenate([rank[-1:], word[:-1]]) if len(word) else word
         with np.errstate(over="ignore"):
-            pair = mix(mix(before) + self.token)
-        self.pairs, self.first_pair, self.pair_of, self.pair_count = _distinct(pair, known)
-        # Every pair's words, as places in self.words; END itself is always there.
-        self.left = np.searchsorted(self.words, before[self.first_pair])
-        self.right = self.word_of[self.first_pair]
-
-
-def _distinct(x: np.ndarray, known: np.ndarray):
-    """Sorted distinct values, a first place and the rank of each, and how many of their places are known."""
-    values, first, rank = np.unique(x, return_index=True, return_inverse=True)
-    return values, first, rank, np.bincount(rank[known], minlength=len(values)) if len(values) else np.zeros(0, np.int64)
+            hashed = mix(mix(self.words)[before] + self.words[word])
+        self.pairs, self.pair_of = np.unique(hashed, return_inverse=True)
+        self.left, self.right = np.zeros((2, len(self.pairs)), np.int64)
+        self.left[self.pair_of], self.right[self.pair_of] = before, word
+        known = np.array(docs["_train"].to_pylist(), bool)[self.owner]
+        self.word_count = np.bincount(word[known], minlength=len(self.words))
+        self.pair_count = np.bincount(self.pair_of[known], minlength=len(self.pairs))
+
+
+def _word_hashes(raw: bytes, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of distinct words, and of each word the place of its hash."""
+    if not len(start):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    edges = np.stack([start, stop], 1).ravel()  # words and, between them, white space
+    both = pa.Array.from_buffers(pa.large_binary(), len(edges) - 1, [None, pa.py_buffer(edges.tobytes()), pa.py_buffer(raw)]).dictionary_encode()
+    code = both.indices.to_numpy()[::2]
+    offsets = np.frombuffer(both.dictionary.buffers()[1], np.int64, len(both.dictionary) + 1)
+    hashes = Rolling(np.frombuffer(both.dictionary.buffers()[2], np.uint8, offsets[-1])).spans(offsets[:-1], offsets[1:])
+    used = np.zeros(len(hashes), bool)
+    used[code] = True
+    return hashes[used], (np.cumsum(used) - 1)[code]
 
 
 def _counts(parts: int):
     def run(docs: pa.Table) -> pa.Table:
         block, src = Block(docs), docs["_part"][0].as_py()
-        rows = [*deal(WORD, (block.words % np.uint64(parts)).astype(np.int64), (block.words >> _W, 7), (block.word_count, 5), src=src)]
-        part = (block.pairs % np.uint64(parts)).astype(np.int64)
-        for kind, some, *more in ((PAIR_NEVER, block.pair_count == 0), (PAIR_ONCE, block.pair_count == 1), (PAIR, block.pair_count > 1, 5)):
-            rows += deal(kind, part[some], (block.pairs[some] >> _P, 6), *[(block.pair_count[some], w) for w in more], src=src)
+        rows = [*deal_sorted(WORD, block.words, [block.word_count], parts, src), *deal_sorted(PAIR, block.pairs, [block.pair_count], parts, src)]
         return pa.Table.from_batches([batch(rows)])
 
     return run
 
 
-def _tell(kind: int, key: np.ndarray, width: int, src: np.ndarray, *columns: tuple[np.ndarray, int]):
-    """Rows back to the blocks they came from."""
-    return deal(kind, src, (key, width), *columns)
+class Owned:
+    """What blocks sent of one kind to the part that owns the keys: sorted by block, grouped by key."""
+
+    def __init__(self, table: pa.Table, kind: int, columns: int):
+        rows = sorted((r[2], r[3]) for r in unbatch(table) if r[1] == kind)
+        self.src = [r[0] for r in rows]
+        got = [undeal(r[1], columns) for r in rows]
+        self.cut = np.cumsum([0, *(len(g[0]) for g in got)]).tolist()
+        key, *self.columns = ([np.concatenate(c) for c in zip(*got, strict=True)] or [np.zeros(0, np.uint64)]) if got else [np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * columns]
+        self.key, self.group = np.unique(key, return_inverse=True)
+        first = np.zeros(len(self.key), np.int64)
+        first[self.group[::-1]] = np.arange(len(key))[::-1]
+        self.first = np.zeros(len(key), bool)
+        self.first[first] = True
 
+    def total(self, i: int) -> np.ndarray:
+        return np.rint(np.bincount(self.group, weights=self.columns[i], minlength=len(self.key))).astype(np.int64)
 
-def _groups(key: np.ndarray, count: np.ndarray, src: np.ndarray):
-    """Sorted rows: key, total of its counts, src, whether several blocks have it, whether this is the first."""
-    order = np.lexsort((src, key))
-    key, count, src = key[order], count[order], src[order]
-    new = np.ones(len(key), bool)
-    new[1:] = key[1:] != key[:-1]
-    group = np.cumsum(new) - 1
-    total = np.bincount(group, weights=count).astype(np.int64) if len(key) else count
-    return order, key, total, group, src, new
+    def answer(self, kind: int, own: int, *columns: np.ndarray) -> list:
+        """A row for each block, its columns in the order in which the block sent its keys."""
+        return [(src, kind, own, b"".join(small(c[a:b]) for c in columns)) for src, a, b in zip(self.src, self.cut[:-1], self.cut[1:], strict=True)]
 
 
 def _add_counts(table: pa.Table) -> pa.Table:
-    every = unbatch(table)
-    told, stats = [], np.zeros(4, np.int64)
-    got = {k: [(s, *unpacked) for _, kind, s, b in every if kind == k for unpacked in [gather([b], *w)]] for k, w in ((WORD, (7, 5)), (PAIR, (6, 5)), (PAIR_ONCE, (6,)), (PAIR_NEVER, (6,)))}
-
-    def join(rows, fixed=None):
-        if not rows:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        key = np.concatenate([r[1] for r in rows])
-        count = np.concatenate([r[2] for r in rows]).astype(np.int64) if fixed is None else np.full(len(key), fixed)
-        return key, count, np.concatenate([np.full(len(r[1]), r[0]) for r in rows])
-
-    for kind, width, joined in ((WORD, 7, [join(got[WORD])]), (PAIR, 6, [join(got[PAIR]), join(got[PAIR_ONCE], 1), join(got[PAIR_NEVER], 0)])):
-        _, key, total, group, src, new = _groups(*(np.concatenate(x) for x in zip(*joined, strict=True)))
-        several = np.bincount(group)[group] > 1 if len(key) else new
-        told += _tell(kind, key[several], width, src[several], (2 * total[group][several] + new[several], 6))
-        if kind == WORD:
-            stats[:2] = total.sum(), (total > 0).sum()
-        else:
-            stats[2:] = (total == 1).sum(), (total == 2).sum()
-    told.append((-1, STATS, 0, stats.tobytes()))
-    return pa.Table.from_batches([batch(told)])
-
-
-def _hear(told: list, kind: int, width: int, keys: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Counts over the corpus of a block's sorted distinct keys, and whether the block is the first that has it."""
-    total, first = own.astype(np.int64).copy(), np.ones(len(keys), bool)
-    key, value = gather([r[3] for r in told if r[1] == kind], width, 6)
-    if len(key):
-        order = np.argsort(keys, kind="stable")
-        at = np.searchsorted(keys[order], key)
-        total[order[at]] = (value >> np.uint64(1)).astype(np.int64)
-        first[order[at]] = (value & np.uint64(1)) == 1
-    return total, first
-
-
-def _learned(docs: pa.Table, told: pa.Table):
-    block, every = Block(docs), unbatch(told)
-    words, _ = _hear(every, WORD, 7, block.words >> _W, block.word_count)
-    pairs, first = _hear(every, PAIR, 6, block.pairs >> _P, block.pair_count)
-    return block, every, words, pairs, first
-
-
-def _restaurants(block: Block, every: list, stats: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Of each of the block's words: the tables of its restaurant, and its probability in the word restaurant."""
-    key, left, right, tables = gather([r[3] for r in every if r[1] == TABLES], 7, 6, 6, 6)
-    cut = block.words >> _W
-    order = np.argsort(cut, kind="stable")
-    at = order[np.searchsorted(cut[order], key)]
-    rooms, customers, own = np.zeros(len(cut)), np.zeros(len(cut)), np.zeros(len(cut))
-    rooms[at], customers[at], own[at] = left / KEPT, right, tables / KEPT
-    single = np.maximum(customers - stats["d1"] * own, 0) / (STRENGTH_WORD + stats["c"])
-    single += (STRENGTH_WORD + stats["d1"] * stats["t"]) / (STRENGTH_WORD + stats["c"]) / (stats["v"] + 1)
-    return rooms, single
-
-
-def _seat_pairs(parts: int, stats: dict, sampled: bool):
-    """Tables of the pairs that the block is the first to have, as sums over the kept sweeps by preceding word and
-    by word: one each, or a seating under the whole corpus' tables of the round before."""
+    own, rows, stats = table["part"][0].as_py(), [], []
+    for kind in (WORD, PAIR):
+        got = Owned(table, kind, 1)
+        total = got.total(0)
+        rows += got.answer(kind, own, 2 * total[got.group] + got.first)
+        stats += [total.sum(), (total > 0).sum()] if kind == WORD else [(total == 1).sum(), (total == 2).sum()]
+    return pa.Table.from_batches([batch([*rows, (-1, STATS, 0, np.array(stats, np.int64).tobytes())])])
+
+
+def _heard(rows: list, kind: int, columns: int, n: int) -> list[np.ndarray]:
+    """The columns that the owners' answers hold, each as long as what the block had asked."""
+    got = []
+    for _, blob in sorted((r[2], r[3]) for r in rows if r[1] == kind):
+        at, some = 0, []
+        for _ in range(columns):
+            column, at = unsmall(blob, at)
+            some.append(column)
+        got.append(some)
+    out = [np.concatenate(c) for c in zip(*got, strict=True)] if got else [np.zeros(0, np.int64)] * columns
+    if any(len(c) != n for c in out):
+        raise ValueError(f"a block asked for {n} keys and was told of {len(out[0])}")
+    return out
 
-    def run(docs: pa.Table, told: pa.Table) -> pa.Table:
-        if not docs.num_rows:
-            return pa.Table.from_batches([batch([])])
-        block, every, _, pairs, first = _learned(docs, told)
-        own = np.flatnonzero(first & (pairs > 0))
-        tables = np.full(len(own), KEPT)
-        if sampled:
-            rooms, single = _restaurants(block, every, stats)
-            tables = seat(block.pairs[own], pairs[own], single[block.right[own]], rooms[block.left[own]], stats["d2"], STRENGTH_PAIR)[BURN:].sum(0)
-        columns = [(np.bincount(side[own], weights=tables, minlength=len(block.words)).astype(np.int64), 6) for side in (block.left, block.right)]
-        rows = deal(TABLES, (block.words % np.uint64(parts)).astype(np.int64), (block.words >> _W, 7), *columns, src=docs["_part"][0].as_py())
-        return pa.Table.from_batches([batch([*rows])])
+
+def _own_pairs(docs: pa.Table, told: pa.Table) -> pa.Table:
+    """The pairs that the block is the first to have, with their counts over the corpus."""
+    if not docs.num_rows:
+        return pa.Table.from_batches([batch([])])
+    block, rows = Block(docs), unbatch(told)
+    value, = _heard(rows, PAIR, 1, len(block.pairs))
+    own = np.flatnonzero((value & 1 == 1) & (value > 1))
+    width = max(1, (len(block.words).bit_length() + 7) // 8)
+    parts = [pack((block.words, 8)), pack((block.left[own], width), (block.right[own], width)), small(value[own] >> 1)]
+    lengths = np.array([len(parts[0]), len(parts[1]), width], np.int64).tobytes()
+    return pa.Table.from_batches([batch([(docs["_part"][0].as_py(), OWN, 0, lengths + b"".join(parts))])])
+
+
+def _read_own(blob: bytes) -> tuple[np.ndarray, ...]:
+    a, b, width = np.frombuffer(blob, np.int64, 3).tolist()
+    words, = unpack(blob[24 : 24 + a], 8)
+    left, right = (x.astype(np.int64) for x in unpack(blob[24 + a : 24 + a + b], width, width))
+    with np.errstate(over="ignore"):
+        pairs = mix(mix(words)[left] + words[right])
+    return words, pairs, left, right, unsmall(blob, 24 + a + b)[0]
+
+
+def word_chance(customers: np.ndarray, tables: np.ndarray, at: dict) -> np.ndarray:
+    """Predictive probabilities of the word restaurant; at: its sums in that round."""
+    base = 1 / (at["v"] + 1)
+    return (np.maximum(customers - at["d1"] * tables, 0) + (STRENGTH_WORD + at["d1"] * at["t"]) * base) / (STRENGTH_WORD + at["c"])
+
+
+def seatings(pairs: np.ndarray, customers: np.ndarray, left: np.ndarray, right: np.ndarray, words: list, at: list[dict]):
+    """Tables of each pair, round by round from the first (one each): words has, for each round before, the tables of
+    each word's restaurant, and its customers and tables in the word restaurant; at: that round's sums."""
+    tables = (customers > 0).astype(np.int64)
+    yield tables
+    some = np.flatnonzero(customers > 1)
+    pairs, customers, left, right = pairs[some], customers[some], left[some], right[some]
+    for r, (rooms, eaters, own) in enumerate(words):
+        parent = word_chance(eaters, own, at[r])
+        tables = tables.copy()
+        tables[some] = seat(pairs, customers, parent[right], rooms[left] - tables[some], at[r]["d2"], STRENGTH_PAIR, r)
+        yield tables
+
+
+def chances(customers, left, right, seated, words, context, at) -> np.ndarray:
+    """Predictive probability of each pair in one round: seated, words and at are that round's; context: customers
+    of each word's restaurant."""
+    rooms, eaters, own = words
+    rest = (STRENGTH_PAIR + at["d2"] * rooms) / (STRENGTH_PAIR + context)
+    rest[context == 0] = 1
+    return np.maximum(customers - at["d2"] * seated, 0) / (STRENGTH_PAIR + context[left]) + rest[left] * word_chance(eaters, own, at)[right]
+
+
+def _seat_pairs(parts: int, at: list[dict]):
+    """A round over the pairs written down: sums of their tables by preceding word and by word, to the words'
+    owners, with each word's own tables of the round before."""
+
+    def run(own: pa.Table, told: pa.Table) -> pa.Table:
+        rows = []
+        for src, _, _, blob in unbatch(own):
+            words, pairs, left, right, count = _read_own(blob)
+            heard = [_heard(unbatch(told), TABLES + r, 3, len(words)) for r in range(len(at))]
+            for tables in seatings(pairs, count, left, right, heard, at):
+                pass
+            sums = [np.bincount(side, weights=tables, minlength=len(words)).astype(np.int64) for side in (left, right)]
+            rows += deal_sorted(TABLES, words, [*sums, heard[-1][2] if heard else np.zeros(len(words), np.int64)], parts, src)
+        return pa.Table.from_batches([batch(rows)])
 
     return run
 
 
-def _seat_words(stats: dict):
+def _seat_words(at: list[dict], v: int):
     def run(table: pa.Table) -> pa.Table:
-        every = [(r[2], *gather([r[3]], 7, 6, 6)) for r in unbatch(table)]
-        if not every:
-            return pa.Table.from_batches([batch([])])
-        key, left, right = (np.concatenate([r[i] for r in every]) for i in (1, 2, 3))
-        src = np.concatenate([np.full(len(r[1]), r[0]) for r in every])
-        order, key, lefts, group, src, new = _groups(key, left.astype(np.float64), src)
-        rights = np.bincount(group, weights=right[order].astype(np.float64))
-        customers = np.rint(rights / KEPT).astype(np.int64)
-        some = np.flatnonzero(customers > 0)
-        tables = np.zeros(len(customers), np.int64)
-        # Own tables are one at least; the rest of the restaurant is as the round before left it.
-        other = np.full(len(some), max(stats["t"] - 1, 0))
-        tables[some] = seat(key[new][some], customers[some], np.full(len(some), 1 / (stats["v"] + 1)), other, stats["d1"], STRENGTH_WORD)[BURN:].sum(0)
-        columns = [(x[group].astype(np.int64), 6) for x in (lefts, customers, tables)]
-        rows = [*_tell(TABLES, key, 7, src, *columns), (-1, STATS, 0, np.array([customers.sum(), tables.sum()], np.float64).tobytes())]
-        return pa.Table.from_batches([batch(rows)])
+        got, r = Owned(table, TABLES, 3), len(at)
+        rooms, eaters = got.total(0), got.total(1)
+        before = np.zeros(len(got.key), np.int64)
+        before[got.group] = got.columns[2]
+        tables = (eaters > 0).astype(np.int64)
+        if at:
+            tables = seat(got.key, eaters, np.full(len(eaters), 1 / (v + 1)), at[-1]["t"] - before, at[-1]["d1"], STRENGTH_WORD, 1000 + r)
+        sums = np.array([eaters.sum(), tables.sum(), (eaters == 1).sum(), (eaters == 2).sum()], np.int64)
+        rows = got.answer(TABLES + r, table["part"][0].as_py(), *(x[got.group] for x in (rooms, eaters, tables)))
+        return pa.Table.from_batches([batch([*rows, (-1, STATS, 0, sums.tobytes())])])
 
     return run
 
 
-def _score(schema: T.StructType, stats: dict):
+def averaged(block: Block, rows: list, at: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """Training counts of a block's words; its pairs' predictive probabilities averaged over the rounds after BURN."""
+    words = _heard(rows, WORD, 1, len(block.words))[0] >> 1
+    pairs = _heard(rows, PAIR, 1, len(block.pairs))[0] >> 1
+    heard = [_heard(rows, TABLES + r, 3, len(block.words)) for r in range(len(at))]
+    chance = np.zeros(len(block.pairs))
+    for r, seated in enumerate(seatings(block.pairs, pairs, block.left, block.right, heard[:-1], at)):
+        if r > BURN:
+            chance += chances(pairs, block.left, block.right, seated, heard[r], words, at[r]) / (len(at) - 1 - BURN)
+    return words, chance
+
+
+def _score(schema: T.StructType, at: list[dict]):
     arrow = to_arrow_schema(schema)
 
     def run(docs: pa.Table, told: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return arrow.empty_table()
-        block, every, words, pairs, _ = _learned(docs, told)
-        rooms, single = _restaurants(block, every, stats)
-        before = words[block.left]  # customers of the preceding word's restaurant
-        share = (STRENGTH_PAIR + stats["d2"] * rooms[block.left]) / (STRENGTH_PAIR + before)
-        share[before == 0] = 1
-        chance = share * single[block.right]
-        seen = np.flatnonzero(pairs > 0)
-        sat = seat(block.pairs[seen], pairs[seen], single[block.right[seen]], rooms[block.left[seen]], stats["d2"], STRENGTH_PAIR)
-        chance[seen] += np.maximum(pairs[seen] - stats["d2"] * sat[BURN:], 0).mean(0) / (STRENGTH_PAIR + before[seen])
-        base = np.log10((words + 1) / (stats["n"] + stats["v"] + 1))
+        block = Block(docs)
+        words, chance = averaged(block, unbatch(told), at)
+        total, types = at[0]["n"], at[0]["v"]
+        base = np.log10((words + 1) / (total + types + 1))
         n = block.docs
         made = {
             "n_tokens": np.bincount(block.owner, minlength=n),
             "n_known": np.bincount(block.owner, weights=words[block.word_of] > 0, minlength=n).astype(np.int64),
-            "train_tokens": np.full(n, stats["n"]),
+            "train_tokens": np.full(n, total),
             "base_score": np.bincount(block.owner, weights=base[block.word_of], minlength=n),
             "score": np.bincount(block.owner, weights=np.log10(chance)[block.pair_of], minlength=n),
         }
@@ -329,10 +264,14 @@ def _score(schema: T.StructType, stats: dict):
     return run
 
 
-def _stats(told: DataFrame, kind) -> np.ndarray:
+def _stats(told: DataFrame) -> list[int]:
     """The sum of a few numbers a part."""
-    rows = [np.frombuffer(bytes(r["packed"]), kind) for r in told.filter(F.col("kind") == STATS).select("packed").collect()]
-    return np.sum(rows, axis=0) if rows else np.zeros(4, kind)
+    rows = [np.frombuffer(bytes(r["packed"]), np.int64) for r in told.filter(F.col("kind") == STATS).select("packed").collect()]
+    return np.sum(rows, axis=0).tolist() if rows else [0, 0, 0, 0]
+
+
+def _discount(once: int, twice: int) -> float:
+    return min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.5
 
 
 def score_texts(docs: DataFrame, held: Column | None = None) -> DataFrame:
@@ -347,24 +286,26 @@ def score_texts(docs: DataFrame, held: Column | None = None) -> DataFrame:
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), (total or 0) // PART_BYTES) | 1
     number = F.coalesce(F.xxhash64("doc_id", F.substring("text", 1, 64)), F.lit(0))
     rows = docs.select("doc_id", "text", (~held).alias("_train"), home_column(number, parts).alias("_part"))
-    counted = rows.groupBy("_part").applyInArrow(_counts(parts), ROWS).groupBy("part").applyInArrow(_add_counts, ROWS)
-    counted = stash(counted)
-    tidy(spark)
-    n, v, once, twice = (int(x) for x in _stats(counted, np.int64))
-    discount = min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.5
-    stats = {"n": n, "v": v, "d2": discount, "d1": 0.7}
-    known = counted.filter("part >= 0")
-    stats |= {"c": 0.0, "t": float(v)}
-    told = known
-    for sampled in (False, True):
-        seated = rows.groupBy("_part").cogroup(told.groupBy("part")).applyInArrow(_seat_pairs(parts, dict(stats), sampled), ROWS)
-        seated = stash(seated.groupBy("part").applyInArrow(_seat_words(dict(stats)), ROWS))
-        tidy(spark)
-        c, t = _stats(seated, np.float64)[:2]
-        stats |= {"c": float(c), "t": float(t) / KEPT}
-        told = known.unionByName(seated.filter("part >= 0"))
+    counted = stash(rows.groupBy("_part").applyInArrow(_counts(parts), ROWS).groupBy("part").applyInArrow(_add_counts, ROWS))
+    n, v, once, twice = _stats(counted)
+    counts = counted.filter("part >= 0")
+    own = stash(rows.groupBy("_part").cogroup(counts.groupBy("part")).applyInArrow(_own_pairs, ROWS))
+    at: list[dict] = []
+    told = own.limit(0)
+    heard = []
+    for r in range(ROUNDS + 1):
+        sent = own.groupBy("part").cogroup(told.groupBy("part")).applyInArrow(_seat_pairs(parts, list(at)), ROWS)
+        heard.append(stash(sent.groupBy("part").applyInArrow(_seat_words(list(at), v), ROWS)))
+        c, t, single, double = _stats(heard[-1])
+        at.append({"n": n, "v": v, "c": c, "t": t, "d2": _discount(once, twice), "d1": at[0]["d1"] if at else _discount(single, double)})
+        answers = heard[-1].filter("part >= 0")
+        told = told.unionByName(answers) if r else answers
+    unstash(own)
     schema = T.StructType([docs.schema["doc_id"], T.StructField("held_out", T.BooleanType())] + [T.StructField(k, T.LongType()) for k in ("n_tokens", "n_known", "train_tokens")] + [T.StructField(k, T.DoubleType()) for k in ("base_score", "score")])
-    return rows.groupBy("_part").cogroup(told.groupBy("part")).applyInArrow(_score(schema, stats), schema)
+    scored = stash(rows.groupBy("_part").cogroup(counts.unionByName(told).groupBy("part")).applyInArrow(_score(schema, at), schema))
+    for done in (counted, *heard):
+        unstash(done)
+    return scored
 
 
 def perplexity(scored: DataFrame) -> DataFrame:

@@ -77,3 +77,45 @@ def deal(kind: int, part: np.ndarray, *columns: tuple[np.ndarray, int], src: int
         if b > a:
             rows = order[a:b]
             yield int(part[rows[0]]), kind, src, pack(*[(c[rows], w) for c, w in columns])
+
+
+def owner(keys: np.ndarray, parts: int) -> np.ndarray:
+    """The part that a hash belongs to: parts are ranges of hashes, so sorted hashes have sorted owners."""
+    return (((keys >> np.uint64(40)) * np.uint64(parts)) >> np.uint64(24)).astype(np.int64)
+
+
+def small(x: np.ndarray) -> bytes:
+    """Numbers from 0, mostly small: a byte each, 255 for those that follow at full length."""
+    wide = np.ascontiguousarray(x, np.int64)
+    return b"".join([np.array([len(wide)], np.int64).tobytes(), np.minimum(wide, 255).astype(np.uint8).tobytes(), wide[wide >= 255].tobytes()])
+
+
+def unsmall(blob: bytes, at: int = 0) -> tuple[np.ndarray, int]:
+    """The numbers written at a place, and the place after them."""
+    n = int(np.frombuffer(blob, np.int64, 1, at)[0])
+    x = np.frombuffer(blob, np.uint8, n, at + 8).astype(np.int64)
+    long = np.flatnonzero(x == 255)
+    x[long] = np.frombuffer(blob, np.int64, len(long), at + 8 + n)
+    return x, at + 8 + n + 8 * len(long)
+
+
+def deal_sorted(kind: int, keys: np.ndarray, columns: list[np.ndarray], parts: int, src: int) -> Iterator[Row]:
+    """Packed rows, one an owner, of sorted hashes (their lowest six bytes travel) and columns of small numbers."""
+    part = owner(keys, parts)
+    cut = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(part)]])
+    low = keys.view(np.uint8).reshape(-1, 8)[:, :6]
+    for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+        if b > a:
+            yield int(part[a]), kind, src, b"".join([np.array([b - a], np.int64).tobytes(), low[a:b].tobytes(), *(small(c[a:b]) for c in columns)])
+
+
+def undeal(blob: bytes, columns: int) -> list[np.ndarray]:
+    """Keys and columns of a row of deal_sorted."""
+    n = int(np.frombuffer(blob, np.int64, 1)[0])
+    wide = np.zeros((n, 8), np.uint8)
+    wide[:, :6] = np.frombuffer(blob, np.uint8, 6 * n, 8).reshape(n, 6)
+    out, at = [wide.view(np.uint64).ravel()], 8 + 6 * n
+    for _ in range(columns):
+        column, at = unsmall(blob, at)
+        out.append(column)
+    return out

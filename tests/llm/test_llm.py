@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tessera.llm import licenses, lm, mixing, neighbours, pieces, quality, repeats, sharding, simhash, topk, vectors
+from tessera.llm import licenses, lm, mixing, neighbours, pieces, quality, repeats, seating, sharding, simhash, topk, vectors
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -135,15 +135,158 @@ def test_lm_equal_texts_score_equally(spark):
     assert all(len(s) == 6 and max(s) - min(s) < 1e-9 for s in scores.values())
 
 
+def exact_tables(c, parent, other, d, strength):
+    """Mean and spread of a dish's tables, from the weights of all numbers of tables by the recurrence."""
+    log = np.full(c + 2, -np.inf)
+    log[1] = 0
+    for n in range(1, c):
+        t = np.arange(1, n + 2)
+        log[t] = np.logaddexp(log[t - 1], np.log(np.maximum(n - d * t, 1e-300)) + log[t])
+    t = np.arange(1, c + 1)
+    w = log[1 : c + 1] + np.cumsum(np.log(strength + d * (other + t - 1))) + t * np.log(parent)
+    w = np.exp(w - w.max())
+    w /= w.sum()
+    mean = (w * t).sum()
+    return mean, math.sqrt((w * (t - mean) ** 2).sum())
+
+
+def seatings_of(c, d):
+    """All partitions of c customers: (tables, weight of their sizes)."""
+    parts = [[]]
+    for i in range(c):
+        parts = [p[:j] + [p[j] + [i]] + p[j + 1 :] for p in parts for j in range(len(p))] + [[*p, [i]] for p in parts]
+    for p in parts:
+        yield len(p), math.prod(k - d for t in p for k in range(1, len(t)))
+
+
 def test_lm_seating():
-    dish = lm.mix(np.arange(1, 2001, dtype=np.uint64))
-    for customers in (1, 2, 30, 500):
-        c = np.full(2000, customers)
-        tables = lm.seat(dish, c, np.full(2000, 0.1), np.zeros(2000), 0.5, 1.0)
-        assert tables.min() >= 1 and tables.max() <= customers
-    # Two customers share a table with probability (1 - d) / (1 - d + (strength + d) * parent).
-    two = lm.seat(dish, np.full(2000, 2), np.full(2000, 0.5), np.zeros(2000), 0.5, 1.0, 40)[5:]
-    assert abs((two == 1).mean() - 0.5 / (0.5 + 1.5 * 0.5)) < 0.02
+    dish = lm.mix(np.arange(1, 20001, dtype=np.uint64))
+    one = np.ones(len(dish))
+    draw = lambda c, p, other, d, s: seating.seat(dish, (one * c).astype(int), one * p, one * other, d, s, 3)
+    # One curve for every count of customers: also where tables of ratios begin to be interpolated, and beyond MOST.
+    for c in (2, 3, 16, 17, 100, 255, 256, 257, 300, 1000, 4000, 4200):
+        for p, other, d, s in ((0.1, 0, 0.5, 1.0), (0.01, 100, 0.5, 1.0), (0.03, 20000, 0.7, 10.0), (0.2, 1000, 0.5, 1.0), (1e-5, 3e6, 0.7, 10.0)):
+            made, (mean, spread) = draw(c, p, other, d, s), exact_tables(c, p, other, d, s)
+            assert made.min() >= 1 and made.max() <= c
+            assert abs(made.mean() - mean) < 0.004 * mean + 5 * spread / math.sqrt(len(dish)), (c, p, made.mean(), mean)
+            assert abs(made.std() - spread) < 0.04 * spread + 0.03
+    for c in (2, 4, 6):  # against all seatings, one by one
+        weight = collections.Counter()
+        for t, w in seatings_of(c, 0.4):
+            weight[t] += w * math.prod((1.5 + 0.4 * (3 + k)) * 0.2 for k in range(t))
+        mean = sum(t * w for t, w in weight.items()) / sum(weight.values())
+        assert abs(draw(c, 0.2, 3, 0.4, 1.5).mean() - mean) < 0.03
+    assert seating.seat(dish[:3], np.array([0, 1, 5]), one[:3] * 0.5, one[:3] * 0, 0.5, 1.0, 0).tolist()[:2] == [0, 1]
+
+
+def lm_passes(texts, train, parts):
+    """The passes of lm.score_texts over one block, without Spark: the block, what it is told, the rounds' sums."""
+    import pyarrow as pa
+
+    docs = pa.table({"doc_id": range(len(texts)), "text": texts, "_train": train, "_part": [0] * len(texts)})
+
+    def owners(rows, f):
+        out = [r for p in {r[0] for r in rows} for r in lm.unbatch(f(pa.Table.from_batches([lm.batch([r for r in rows if r[0] == p])])))]
+        return [r for r in out if r[0] >= 0], np.sum([np.frombuffer(r[3], np.int64) for r in out if r[0] < 0], axis=0).tolist()
+
+    told, (n, v, once, twice) = owners(lm.unbatch(lm._counts(parts)(docs)), lm._add_counts)
+    table = lambda rows: pa.Table.from_batches([lm.batch(rows)])
+    own = lm._own_pairs(docs, table(told))
+    at, tables = [], []
+    for _ in range(lm.ROUNDS + 1):
+        made, (c, t, single, double) = owners(lm.unbatch(lm._seat_pairs(parts, list(at))(own, table(tables))), lm._seat_words(list(at), v))
+        tables += made
+        at.append({"n": n, "v": v, "c": c, "t": t, "d2": lm._discount(once, twice), "d1": at[0]["d1"] if at else lm._discount(single, double)})
+    return lm.Block(docs), told + tables, at
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_lm_contexts_sum_to_one(parts):
+    """Over all words, the end and one unknown word, after frequent, rare and unknown words alike."""
+    rnd = random.Random(2)
+    bag = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rnd.choice(bag[: rnd.choice([3, 20, 60])]) for _ in range(30)) for _ in range(600)]
+    asked = [f"{a} {b}" for a in [*bag, "never"] for b in [*bag, "never"]]
+    block, rows, at = lm_passes(texts + asked + bag + ["never"], [True] * 600 + [False] * (len(asked) + 61), parts)
+    words, chance = lm.averaged(block, rows, at)
+    total = collections.Counter()
+    for left, right, p in zip(block.left.tolist(), block.right.tolist(), chance.tolist(), strict=True):
+        total[left] += p
+    assert len(total) == 62 and len(block.pairs) == 62 * 62 - 1  # all but an end after an end: no text is empty
+    end = int(np.flatnonzero(block.words == lm.END)[0])
+    assert all(abs(s - 1) < 1e-9 for left, s in total.items() if left != end) and total[end] < 1
+    assert words.max() > 2000 and sorted(words)[0] == 0
+
+
+def test_lm_against_gibbs():
+    """Against a plain sampler that takes up and seats every customer in turn."""
+    rnd = random.Random(7)
+    bag = [f"w{i}" for i in range(12)]
+    texts = [" ".join(rnd.choice(bag[: rnd.choice([2, 5, 12])]) for _ in range(8)) for _ in range(60)]
+    asked = [" ".join(rnd.choice(bag) for _ in range(6)) for _ in range(30)]
+    block, rows, at = lm_passes(texts + asked, [True] * 60 + [False] * 30, 3)
+    _, chance = lm.averaged(block, rows, at)
+    mine = np.bincount(block.owner, weights=np.log10(chance)[block.pair_of])[60:]
+    d2, d1, v = at[0]["d2"], at[0]["d1"], at[0]["v"]
+    tokens = lambda t: list(zip(["$", *t.split()], [*t.split(), "$"], strict=True))
+    rest, top = collections.defaultdict(lambda: collections.defaultdict(list)), collections.defaultdict(list)
+
+    def up(w):
+        c, t = sum(map(sum, top.values())), sum(map(len, top.values()))
+        return (max(sum(top[w]) - d1 * len(top[w]), 0) + (lm.STRENGTH_WORD + d1 * t) / (v + 1)) / (lm.STRENGTH_WORD + c)
+
+    def predict(u, w):
+        c, t = sum(map(sum, rest[u].values())), sum(map(len, rest[u].values()))
+        return (max(sum(rest[u][w]) - d2 * len(rest[u][w]), 0) + (lm.STRENGTH_PAIR + d2 * t) * up(w)) / (lm.STRENGTH_PAIR + c)
+
+    def sit(sizes, new, d):
+        """True where a new table opens."""
+        at_ = rnd.random() * (sum(sizes) - d * len(sizes) + new)
+        for i, n in enumerate(sizes):
+            at_ -= n - d
+            if at_ < 0:
+                sizes[i] += 1
+                return False
+        sizes.append(1)
+        return True
+
+    def leave(sizes):
+        i = rnd.choices(range(len(sizes)), sizes)[0]
+        sizes[i] -= 1
+        if not sizes[i]:
+            sizes.pop(i)
+            return True
+        return False
+
+    def enter(u, w):
+        t = sum(map(len, rest[u].values()))
+        if sit(rest[u][w], (lm.STRENGTH_PAIR + d2 * t) * up(w), d2):
+            sit(top[w], (lm.STRENGTH_WORD + d1 * sum(map(len, top.values()))) / (v + 1), d1)
+
+    train = [p for t in texts for p in tokens(t)]
+    for u, w in train:
+        enter(u, w)
+    known = collections.defaultdict(float)
+    for sweep in range(60):
+        for u, w in train:
+            if leave(rest[u][w]):
+                leave(top[w])
+            enter(u, w)
+        if sweep >= 20:
+            for t in asked:
+                for p in tokens(t):
+                    known[p] += predict(*p) / 40
+    for t, score in zip(asked, mine, strict=True):
+        want = [math.log10(known[p] / sum(t2.count(" ") >= 0 and tokens(t2).count(p) for t2 in asked)) for p in tokens(t)]
+        assert abs(sum(want) - score) < 0.05 * len(want), (t, sum(want), score)
+
+
+def test_lm_perplexity(docs):
+    made = lm.score_texts(docs)
+    rows = {r.held_out: r for r in lm.perplexity(made).collect()}
+    for side, r in rows.items():
+        some = [x for x in made.collect() if x.held_out == side]
+        assert math.isclose(r.perplexity, 10 ** (-sum(x.score for x in some) / sum(x.n_tokens for x in some)))
 
 
 def ints(spark, seed=0, n=300, d=12):
