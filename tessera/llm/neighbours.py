@@ -3,8 +3,8 @@
 On a bounded sample: an exact neighbour graph, a balanced partitioning of it (few edges cut, parts of nearly
 equal size), and a small network that learns a vector's part from itself and its neighbours.  Every row is
 indexed in the part the network finds most probable; a query goes to its several most probable parts, where all
-vectors are compared exactly.  The number of parts visited is the least that finds TARGET of the sample's own
-neighbours.
+vectors are compared exactly.  The number of parts visited is the least that finds TARGET of the neighbours of
+vectors of the sample that the router was not fitted on.
 """
 
 from __future__ import annotations
@@ -15,11 +15,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stash
-from .vectors import answers, finite, fold, matrix
+from .vectors import answers, best_rows, finite, fold, matrix
 
-SAMPLE_ROWS = 4096  #: distinct vectors that the index is fitted on, at most
-PART_ROWS, PARTS = 2048, 256  #: rows that a part should have; the most parts
-TARGET = 0.95  #: of the sample's neighbours that routing must reach
+#: Distinct vectors that the index is fitted on: SAMPLE_SHARE for each part, within these bounds.
+SAMPLE_ROWS, SAMPLE_MOST, SAMPLE_SHARE = 4096, 65536, 16
+PART_ROWS, LEAST_PARTS = 2048, 8  #: rows that a part should have; the fewest parts
+HELD = 5  #: one of so many vectors of the sample chooses the number of visits and is not learnt from
+TARGET = 0.95  #: of these vectors' neighbours that routing must reach
 QUERY_BLOCK, CANDIDATE_BLOCK = 1024, 16384
 
 
@@ -118,24 +120,34 @@ def learn(x: np.ndarray, aim: np.ndarray, hidden: int = 96, epochs: int = 25, ba
     return Router(weights)
 
 
-def fit_index(sample: np.ndarray, parts: int) -> tuple[Router, int]:
+def fit_index(sample: np.ndarray, parts: int, k: int = 5) -> tuple[Router, int]:
     """The router and how many parts a query visits."""
     x = unit(sample)
-    graph = neighbour_graph(x)
-    part = balanced_parts(x, graph, parts)
-    aim = np.zeros((len(x), parts))
-    np.add.at(aim, (np.arange(len(x)), part), 2.0)
-    np.add.at(aim, (np.repeat(np.arange(len(x)), graph.shape[1]), part[graph].ravel()), 1.0)
-    router = learn(x, aim / aim.sum(1, keepdims=True))
-    logits = router.logits(x)
-    home, order = logits.argmax(1), np.argsort(-logits, axis=1)
-    place = np.argsort(order, axis=1)  # rank of each part in a row's order
-    near = neighbour_graph(x, 5)
-    if not near.shape[1]:
-        return router, parts
-    rank = place[np.arange(len(x))[:, None], home[near]]
-    share = [float((rank <= m).mean()) for m in range(parts)]
-    return router, next((m + 1 for m, s in enumerate(share) if s >= TARGET), parts)
+    held = np.arange(len(x)) % HELD == HELD - 1
+    known = x[~held]
+    graph = neighbour_graph(known)
+    part = balanced_parts(known, graph, parts)
+    aim = np.zeros((len(known), parts))
+    np.add.at(aim, (np.arange(len(known)), part), 2.0)
+    np.add.at(aim, (np.repeat(np.arange(len(known)), graph.shape[1]), part[graph].ravel()), 1.0)
+    router = learn(known, aim / aim.sum(1, keepdims=True))
+    return router, needed_visits(router, x, np.flatnonzero(held), parts, k)
+
+
+def needed_visits(router: Router, x: np.ndarray, asked: np.ndarray, parts: int, k: int) -> int:
+    """The fewest most probable parts that hold TARGET of the k nearest rows of x to its rows ``asked``."""
+    order = np.argsort(-router.logits(x), axis=1)
+    home, place = order[:, 0], np.argsort(order[asked], axis=1)  # place: rank of each part in a row's order
+    ranks = []
+    for at in range(0, len(asked), 1024):
+        some = asked[at : at + 1024]
+        near = x[some] @ x.T
+        near[np.arange(len(some)), some] = -np.inf
+        width = min(k, len(x) - 1)
+        best = np.argpartition(-near, max(0, width - 1), axis=1)[:, :width]
+        ranks.append(place[at : at + 1024][np.arange(len(some))[:, None], home[best]].ravel())
+    rank = np.concatenate(ranks) if ranks else np.zeros(0, int)
+    return next((m + 1 for m in range(parts) if len(rank) and (rank <= m).mean() >= TARGET), parts)
 
 
 def pair_cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -144,21 +156,23 @@ def pair_cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return dot / (np.sqrt(np.einsum("ij,ij->i", a, a)) * np.sqrt(np.einsum("ij,ij->i", b, b)))
 
 
-def nearest(queries: DataFrame, candidates: DataFrame, k: int = 5, sample_rows: int = SAMPLE_ROWS, part_rows: int = PART_ROWS) -> DataFrame:
+def nearest(queries: DataFrame, candidates: DataFrame, k: int = 5, part_rows: int = PART_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest rows of other ids that routing finds, by cosine.
 
     queries, candidates: (vec_id, vector), finite vectors of one length other than zero.  Equal vectors are
-    folded and indexed once, so copies load no part; parts of many rows are searched in bounded blocks.  Ties go to
-    the smaller vec_id; with k or fewer candidates all are returned; empty tables give an empty result.
+    folded and indexed once, so copies load no part; parts of many rows are searched in bounded blocks, each of
+    which returns a query's best k + 1.  Ties go to the smaller vec_id; with k or fewer candidates all are returned;
+    empty tables give an empty result.  Fewer than 2 * SAMPLE_SHARE distinct vectors are one part.
     """
     folded = stash(fold(candidates, k + 1).withColumn("_v", F.monotonically_increasing_id()))
     asked = stash(fold(queries, 1).withColumn("_q", F.monotonically_increasing_id()))
     total = folded.count()
-    parts = int(min(PARTS, max(1, total // part_rows)))
-    taken = folded.orderBy("_h1", "_h2").limit(sample_rows).select("vector").toArrow()  # sample_rows rows at most
+    parts = min(max(LEAST_PARTS, total // part_rows), SAMPLE_MOST // SAMPLE_SHARE, max(1, total // SAMPLE_SHARE))
+    rows = max(SAMPLE_ROWS, SAMPLE_SHARE * parts)
+    taken = folded.orderBy("_h1", "_h2").limit(rows).select("vector").toArrow()  # SAMPLE_MOST rows at most
     weights, visits = None, 1
     if parts > 1:
-        router, visits = fit_index(matrix(taken["vector"], np.float64), parts)
+        router, visits = fit_index(matrix(taken["vector"], np.float64), parts, k)
         weights = router.weights
     shared = folded.sparkSession.sparkContext.broadcast(weights)  # of fixed size
 
@@ -176,8 +190,9 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int = 5, sample_rows:
 
         return run
 
-    placed = folded.select("_v", "_h1", "vector").mapInArrow(route(1), "_v long, _h1 long, vector array<double>, _parts array<int>")
-    placed = stash(placed.select("_v", "_h1", "vector", F.element_at("_parts", 1).alias("_p")))
+    kind = candidates.schema["vec_id"].dataType.simpleString()
+    placed = folded.select("_v", F.element_at("ids", 1).alias("_least"), "_h1", "vector").mapInArrow(route(1), f"_v long, _least {kind}, _h1 long, vector array<double>, _parts array<int>")
+    placed = stash(placed.select("_v", "_least", "_h1", "vector", F.element_at("_parts", 1).alias("_p")))
     sizes = placed.groupBy("_p").agg(F.ceil(F.count(F.lit(1)) / CANDIDATE_BLOCK).cast("int").alias("_n"))  # a row a part
     sent = asked.select("_q", "_h1", "vector").mapInArrow(route(visits), "_q long, _h1 long, vector array<double>, _parts array<int>")
     ways = max(1, -(-asked.count() * visits // (parts * QUERY_BLOCK)))
@@ -186,22 +201,22 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int = 5, sample_rows:
         .join(F.broadcast(sizes), "_p")  # a row a part
         .withColumn("_b", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
     )
-    right = placed.join(F.broadcast(sizes), "_p").select("_v", "vector", "_p", F.pmod("_h1", F.col("_n")).cast("int").alias("_b")).withColumn("_a", F.explode(F.sequence(F.lit(0), F.lit(ways - 1))))
+    right = placed.join(F.broadcast(sizes), "_p").select("_v", "_least", "vector", "_p", F.pmod("_h1", F.col("_n")).cast("int").alias("_b")).withColumn("_a", F.explode(F.sequence(F.lit(0), F.lit(ways - 1))))
 
     def cell(one: pa.Table, other: pa.Table) -> pa.Table:
         a, b, s = np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+        least = other["_least"].to_numpy()
         if one.num_rows and other.num_rows:
             x, y = matrix(one["vector"], np.float64), matrix(other["vector"], np.float64)
             near = unit(x) @ unit(y).T
-            if near.shape[1] > k + 1:
-                edge = -np.partition(-near, k, axis=1)[:, k : k + 1]
-                a, b = np.nonzero(near >= edge - 1e-12)
-            else:
-                a, b = (i.ravel() for i in np.indices(near.shape))
-            s = pair_cosine(x[a], y[b])
-        return pa.table({"_q": one["_q"].to_numpy()[a], "_v": other["_v"].to_numpy()[b], "score": s})
-
-    pairs = left.select("_q", "vector", "_p", "_a", "_b").groupBy("_p", "_a", "_b").cogroup(right.groupBy("_p", "_a", "_b")).applyInArrow(cell, "_q long, _v long, score double")
+            edge = -np.partition(-near, k, axis=1)[:, k : k + 1] if near.shape[1] > k + 1 else np.full((len(x), 1), -np.inf)
+            for at in range(0, len(x), 64):  # ties may be many: a few queries at a time
+                p, q = np.nonzero(near[at : at + 64] >= edge[at : at + 64] - 1e-12)
+                p, q, t = best_rows(p + at, q, pair_cosine(x[p + at], y[q]), least, k + 1)
+                a, b, s = np.concatenate([a, p]), np.concatenate([b, q]), np.concatenate([s, t])
+        return pa.table({"_q": one["_q"].to_numpy()[a], "_v": other["_v"].to_numpy()[b], "_least": least[b], "score": s})
+
+    pairs = left.select("_q", "vector", "_p", "_a", "_b").groupBy("_p", "_a", "_b").cogroup(right.groupBy("_p", "_a", "_b")).applyInArrow(cell, f"_q long, _v long, _least {kind}, score double")
     return answers(queries, asked, folded, pairs, k)
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stash
-from .vectors import answers, finite, fold, matrix
+from .vectors import answers, best_rows, finite, fold, matrix
 
 LEVELS = (1, 4, 16)
 QUERY_BLOCK, CANDIDATE_BLOCK = 1024, 16384
@@ -39,20 +39,21 @@ def summary(x: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
     return mean * np.sqrt(length), rest
 
 
-def block_top(query: np.ndarray, candidate: np.ndarray, k: int, step: int = 1024) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query row, candidate row, score) of each query's best ``k`` candidates and of all that tie with the k-th.
+def block_top(query: np.ndarray, candidate: np.ndarray, ids: np.ndarray, k: int, step: int = 1024) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query row, candidate row, score) of each query's best ``k`` candidates, ties to the smaller of ``ids``.
 
-    Whole numbers: scores are exact in float64 up to 2**53."""
+    Whole numbers: where sums can pass 2**53, scores are made of Python's integers."""
     nq, nc = len(query), len(candidate)
     levels = [s for s in LEVELS if s <= query.shape[1]]
     q_sum = [np.hstack(summary(query, s)) for s in levels]
     c_sum = [np.hstack(summary(candidate, s)) for s in levels]
-    slack = 1e-6 * (1 + np.abs(query).sum(1).max(initial=0) * np.abs(candidate).max(initial=0))
+    largest = np.abs(query).sum(1).max(initial=0) * np.abs(candidate).max(initial=0)
+    slack = 1e-6 * (1 + largest)
+    wide = largest >= 2.0**53
     # Candidates of long vectors first: they set high thresholds early.
     order = np.argsort(-(candidate**2).sum(1), kind="stable")
     floor = np.full(nq, -np.inf)
-    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    kept = np.full((nq, k), -np.inf)
+    a, b, s = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, object if wide else np.float64)
     for at in range(0, nc, step):
         some = order[at : at + step]
         # The coarsest bound over the whole block pair, then finer ones on what survives.
@@ -63,23 +64,19 @@ def block_top(query: np.ndarray, candidate: np.ndarray, k: int, step: int = 1024
             else:
                 good = np.einsum("ij,ij->i", qs[alive_q], cs[some[alive_c]]) + slack >= floor[alive_q]
             alive_q, alive_c = alive_q[good], alive_c[good]
-        if len(alive_q) * 4 > nq * len(some):
+        if wide:
+            score = np.array([sum(int(x) * int(y) for x, y in zip(query[i], candidate[some[j]], strict=True)) for i, j in zip(alive_q, alive_c, strict=True)], object)
+        elif len(alive_q) * 4 > nq * len(some):
             score = (query @ candidate[some].T)[alive_q, alive_c]
         else:
             score = np.einsum("ij,ij->i", query[alive_q], candidate[some[alive_c]])
-        good = score >= floor[alive_q]
-        alive_q, alive_c, score = alive_q[good], alive_c[good], score[good]
-        found.append((alive_q, some[alive_c], score))
-        dense = np.full((nq, len(some)), -np.inf)
-        dense[alive_q, alive_c] = score
-        both = np.hstack([kept, dense])
-        kept = -np.partition(-both, k - 1, axis=1)[:, :k]
-        floor = kept.min(1)
-    if not found:
-        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
-    a, b, s = (np.concatenate(x) for x in zip(*found, strict=True))
-    good = s >= floor[a]
-    return a[good], b[good], s[good]
+        good = wide | (score >= floor[alive_q]).astype(bool)
+        a, b, s = np.concatenate([a, alive_q[good]]), np.concatenate([b, some[alive_c[good]]]), np.concatenate([s, score[good]])
+        a, b, s = best_rows(a, b, s, ids, k)
+        full = np.flatnonzero(np.bincount(a, minlength=nq) == k)
+        last = np.cumsum(np.bincount(a, minlength=nq)) - 1
+        floor[full] = s[last[full]].astype(np.float64) - (slack if wide else 0)
+    return a, b, s
 
 
 def top_products(queries: DataFrame, candidates: DataFrame, k: int = 20) -> DataFrame:
@@ -88,8 +85,8 @@ def top_products(queries: DataFrame, candidates: DataFrame, k: int = 20) -> Data
 
     queries, candidates: (vec_id, vector), all vectors of one length (a pair of other lengths is an error).
     Equal vectors are folded, so copies cost nothing.  Queries and candidates meet in a grid of bounded blocks;
-    each cell returns a query's best k and ties at the edge among distinct vectors.  Repeated vec_ids are
-    separate rows; fewer than k candidates give shorter lists, no queries none.
+    each cell returns a query's best k + 1 distinct vectors.  Repeated vec_ids are separate rows; fewer than k
+    candidates give shorter lists, no queries none.  Scores beyond the range of long end at its limits.
     """
     folded = stash(fold(candidates, k + 1).withColumn("_v", F.monotonically_increasing_id()))
     asked = stash(fold(queries, 1).withColumn("_q", F.monotonically_increasing_id()))
@@ -97,22 +94,33 @@ def top_products(queries: DataFrame, candidates: DataFrame, k: int = 20) -> Data
     nc = max(1, -(-folded.count() // CANDIDATE_BLOCK))
     nq = max(1, -(-asked.count() // QUERY_BLOCK))
     left = asked.select("_q", "vector", F.pmod(F.col("_h1"), F.lit(nq)).cast("int").alias("_a")).withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(nc - 1))))
-    right = folded.select("_v", "vector", F.pmod(F.col("_h1"), F.lit(nc)).cast("int").alias("_b")).withColumn("_a", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
+    right = folded.select("_v", "vector", F.element_at("ids", 1).alias("_least"), F.pmod(F.col("_h1"), F.lit(nc)).cast("int").alias("_b")).withColumn("_a", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
+
+    kind = candidates.schema["vec_id"].dataType.simpleString()
 
     def cell(one: pa.Table, other: pa.Table) -> pa.Table:
         a, b, s = np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+        least = other["_least"].to_numpy()
         if one.num_rows and other.num_rows:
-            a, b, s = block_top(matrix(one["vector"], np.float64), matrix(other["vector"], np.float64), k + 1)
-        return pa.table({"_q": one["_q"].to_numpy()[a], "_v": other["_v"].to_numpy()[b], "score": s.astype(np.int64)})
+            a, b, s = block_top(matrix(one["vector"], np.float64), matrix(other["vector"], np.float64), least, k + 1)
+            if s.dtype == object:
+                s = np.array([min(max(x, 1 - (1 << 63)), (1 << 63) - 1) for x in s], np.int64)
+        return pa.table({"_q": one["_q"].to_numpy()[a], "_v": other["_v"].to_numpy()[b], "_least": least[b], "score": s.astype(np.int64)})
 
-    pairs = left.groupBy("_a", "_b").cogroup(right.groupBy("_a", "_b")).applyInArrow(cell, "_q long, _v long, score long")
+    pairs = left.groupBy("_a", "_b").cogroup(right.groupBy("_a", "_b")).applyInArrow(cell, f"_q long, _v long, _least {kind}, score long")
     return answers(queries, asked, folded, pairs, k)
 
 
 def whole_vectors(rows: DataFrame, scale: float = 64.0) -> DataFrame:
-    """(vec_id, vector): floor(scale * x) of every component, as doubles; rows that can't take part are left out."""
+    """(vec_id, vector): floor(scale * x) of every component, as doubles; rows that can't take part are left out,
+    and those whose components pass the range of double."""
     good = rows.filter(finite("embedding") & F.col("vec_id").isNotNull())
-    return good.select("vec_id", F.transform("embedding", lambda x: F.floor(F.lit(scale) * x.cast("double")).cast("double")).alias("vector"))
+
+    def whole(x):
+        y = F.lit(scale) * x.cast("double")
+        return F.when(F.abs(y) < 2.0**52, F.floor(y).cast("double")).otherwise(y)  # beyond, every double is whole
+
+    return good.select("vec_id", F.transform("embedding", whole).alias("vector")).filter(finite("vector"))
 
 
 def op4_topk(spark, sf_dir: str) -> DataFrame:

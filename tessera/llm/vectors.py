@@ -32,29 +32,36 @@ def fold(rows: DataFrame, keep: int) -> DataFrame:
 
 
 def matrix(column: pa.Array, dtype) -> np.ndarray:
-    """A list column of equal lengths as a matrix."""
+    """A list column of equal lengths as a matrix; other lengths are an error."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     n = len(column)
+    if len(set(np.diff(column.offsets.to_numpy()).tolist())) > 1:
+        raise ValueError("vectors of several lengths")
     return column.flatten().to_numpy(zero_copy_only=False).astype(dtype).reshape(n, -1) if n else np.zeros((0, 1), dtype)
 
 
-def unfold_ids(column) -> list[np.ndarray]:
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    flat, offsets = column.values.to_numpy(), column.offsets.to_numpy()
-    return [flat[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+def best_rows(a: np.ndarray, b: np.ndarray, score: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of scored pairs (query a, candidate b) each query's ``k`` best, ties to the smaller ids[b]."""
+    order = np.lexsort((ids[b], -score, a))
+    a, b, score = a[order], b[order], score[order]
+    new = np.ones(len(a), bool)
+    new[1:] = a[1:] != a[:-1]
+    first = np.flatnonzero(new)
+    good = np.arange(len(a)) - first[np.cumsum(new) - 1] < k if len(a) else new
+    return a[good], b[good], score[good]
 
 
 def answers(queries: DataFrame, asked: DataFrame, folded: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
-    """(query_id, rank, vec_id, score) from scored pairs (_q, _v, score) of distinct vectors.
+    """(query_id, rank, vec_id, score) from scored pairs (_q, _v, _least, score) of distinct vectors; _least: the
+    vector's smallest id.
 
     The k + 1 best distinct vectors of a query hold k rows of other ids; vectors that tie are ordered by their
     smallest id.  Every query row, copies too, takes its vector's list without itself.
     """
-    best = pairs.withColumn("_r", F.rank().over(Window.partitionBy("_q").orderBy(F.desc("score")))).filter(F.col("_r") <= k + 1)
-    tied = Window.partitionBy("_q", "score").orderBy(F.element_at("ids", 1))
-    named = best.join(folded.select("_v", "ids"), "_v").withColumn("_r", F.row_number().over(tied)).filter(F.col("_r") <= k + 1)
+    order = Window.partitionBy("_q").orderBy(F.desc("score"), "_least")
+    best = pairs.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= k + 1)
+    named = best.join(folded.select("_v", "ids"), "_v")
     listed = named.select("_q", "score", F.explode("ids").alias("vec_id"))
     lists = listed.withColumn("_r", F.row_number().over(Window.partitionBy("_q").orderBy(F.desc("score"), "vec_id"))).filter(F.col("_r") <= k + 1)
     whole = lists.groupBy("_q").agg(F.sort_array(F.collect_list(F.struct(F.negative("score").alias("s"), "vec_id"))).alias("_list"))

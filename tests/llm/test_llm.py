@@ -323,15 +323,49 @@ def test_topk_bounds():
         assert (bound + 1e-9 >= q @ c.T).all()
 
 
-def test_neighbours(spark):
+def test_topk_ties_are_bounded(spark):
+    """Products that all tie leave a cell as k + 1 rows a query; ids decide."""
+    rng = np.random.default_rng(3)
+    q, c, ids = np.eye(10, 40), np.eye(40)[rng.integers(10, 40, 500)] * rng.integers(1, 9, (500, 1)), rng.permutation(500)
+    a, b, s = topk.block_top(q, c, ids, 21, step=64)
+    assert len(a) == 210 and (s == 0).all() and sorted(ids[b[a == 3]]) == list(range(21))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(np.eye(120))], "vec_id long, vector array<double>")
+    made = topk.top_products(table.filter("vec_id = 40"), table, 20).collect()
+    assert sorted(r.vec_id for r in made) == list(range(20)) and {r.score for r in made} == {0}
+
+
+def test_topk_wide_numbers(spark):
+    x = [[1e18, 3.0], [1e18, 5.0], [-1e18, 1.0], [2.0, 0.0]]
+    table = topk.whole_vectors(spark.createDataFrame(list(enumerate(x)), "vec_id long, embedding array<double>"), 64.0)
+    assert [r.vector[0] for r in table.orderBy("vec_id").collect()] == [6.4e19, 6.4e19, -6.4e19, 128.0]
+    assert {r.vec_id: r.score for r in topk.top_products(table.filter("vec_id = 3"), table, 3).collect()} == {0: 128 * 64 * 10**18 if 128 * 64 * 10**18 < 1 << 63 else (1 << 63) - 1, 1: (1 << 63) - 1, 2: 1 - (1 << 63)}
+    exact = topk.block_top(np.array([[2.0**40, 1.0]]), np.array([[2.0**20, 1.0], [2.0**20, 2.0]]), np.arange(2), 2)
+    assert exact[2].tolist() == [2**60 + 2, 2**60 + 1] and exact[1].tolist() == [1, 0]
+
+
+def test_vectors_of_several_lengths():
+    import pyarrow as pa
+
+    with pytest.raises(ValueError):
+        vectors.matrix(pa.array([[1.0, 2.0, 3.0], [4.0]]), np.float64)
+
+
+@pytest.mark.parametrize("clusters", [0, 30])
+def test_neighbours(spark, clusters):
+    """Recall of held-out and indexed queries, on random directions and on clusters, through the partitions."""
     table, x = ints(spark, 5, 600, 8)
+    if clusters:
+        rng = np.random.default_rng(clusters)
+        x = rng.normal(size=(clusters, 16))[rng.integers(0, clusters, 3000)] + 0.15 * rng.normal(size=(3000, 16))
+        table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
     good = table.filter(vectors.finite("embedding") & F.col("vec_id").isNotNull()).withColumnRenamed("embedding", "vector").filter(F.exists("vector", lambda v: v != 0))
+    good = good.withColumns({c: F.lit("x") for c in ("_p", "_q", "score", "ids", "_least")})
     made = collections.defaultdict(list)
     for r in neighbours.nearest(good.filter("vec_id % 50 = 0"), good, 5, part_rows=120).orderBy("query_id", "rank").collect():
         made[r.query_id].append((r.vec_id, r.score))
     x = x / np.sqrt((x**2).sum(1, keepdims=True))
     found = total = 0
-    for i in range(0, 600, 50):
+    for i in range(0, len(x), 50):
         s = x @ x[i]
         s[i] = -9
         edge = np.sort(s)[-5]
@@ -339,7 +373,12 @@ def test_neighbours(spark):
         found += sum(score >= edge - 1e-9 for _, score in made[i])
         total += 5
     assert found / total >= 0.9
+    if clusters:
+        router, visits = neighbours.fit_index(x, 25)
+        assert visits <= 8  # clusters are told apart: a query needs no more than a third of the parts
     assert neighbours.nearest(good.limit(0), good.limit(0)).count() == 0
+    few = good.filter("vec_id < 4")
+    assert neighbours.nearest(few, few).count() == 12
 
 
 def test_quality(spark, docs, none, rows):
