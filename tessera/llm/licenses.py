@@ -47,6 +47,7 @@ NOTICES = {
     "rights-reserved": "all rights reserved",
 }
 
+WORD_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  #: what lies between words
 _WORD_BYTE = np.ones(256, bool)
 _WORD_BYTE[0x00:0x30] = _WORD_BYTE[0x3A:0x61] = _WORD_BYTE[0x7B:0x80] = False
 
@@ -122,8 +123,8 @@ class Automaton:
 
 
 class Scanner:
-    def __init__(self, phrases: dict[str, str] = PHRASES, notices: dict[str, str] = NOTICES, least: int = 6, gap: int = 12, coverage: float = 0.6):
-        texts = [(p.split(), label, True) for p, label in phrases.items()] + [(t.split(), label, False) for label, t in notices.items()]
+    def __init__(self, phrases: dict[str, str] = PHRASES, notices: dict[str, str] | list[tuple[str, str]] = NOTICES, least: int = 6, gap: int = 12, coverage: float = 0.6):
+        texts = [(p.split(), label, True) for p, label in phrases.items()] + [(t.split(), label, False) for label, t in (notices.items() if isinstance(notices, dict) else notices)]
         vocabulary = {w: i for i, w in enumerate(sorted({w for t, _, _ in texts for w in t}))}
         self.size = [len(t) for t, _, _ in texts]
         self.label = [label for _, label, _ in texts]
@@ -204,6 +205,22 @@ class Scanner:
         }
 
 
+#: Words of all texts of a licence table, at most: the automaton is held by every task.
+MOST_WORDS = 1_000_000
+
+
+def notices_of(licenses: DataFrame, most_words: int = MOST_WORDS) -> list[tuple[str, str]]:
+    """Templates from a table of whole licence texts (label, text), for ``notices`` of scan_licenses.
+
+    Texts of fewer than two words and null labels are left out; a table of over ``most_words`` words is an error.
+    """
+    words = F.filter(F.split(F.lower("text"), WORD_GAP), lambda w: w != "")
+    known = licenses.select("label", words.alias("words")).filter((F.size("words") > 1) & F.col("label").isNotNull())
+    if (known.agg(F.sum(F.size("words"))).first()[0] or 0) > most_words:
+        raise ValueError(f"the licence texts have over {most_words} words")
+    return [(r["label"], " ".join(r["words"])) for r in known.dropDuplicates().orderBy("label", "words").collect()]
+
+
 SPAN = T.StructType([T.StructField("label", T.StringType()), T.StructField("first", T.LongType()), T.StructField("last", T.LongType()), T.StructField("covered", T.DoubleType())])
 
 
@@ -211,7 +228,8 @@ def scan_licenses(docs: DataFrame, **options) -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans) for every row.
 
     Null and empty texts have no words and score 0; labels are then empty strings.  Texts are read whole and
-    repeated rows scanned each; further columns are ignored.  ``options``: see Scanner.
+    repeated rows scanned each; further columns are ignored.  ``options``: see Scanner; notices_of makes its
+    templates from a table of whole licence texts.
     """
     schema = T.StructType([docs.schema["doc_id"]])
     for name, kind in (("n_words", "long"), ("n_base", "long"), ("first_word", "long"), ("last_word", "long"), ("base_labels", "string"), ("labels", "string"), ("score", "double")):

@@ -232,4 +232,4 @@ def op5_quality(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     scored = score_documents(docs, model)
-    return scored.select("doc_id", (_remainder("doc_id") == 2).alias("held_out"), "score", "predicted")
+    return scored.select("doc_id", F.coalesce(_remainder("doc_id") == 2, F.lit(False)).alias("held_out"), "score", "predicted")

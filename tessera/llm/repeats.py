@@ -10,6 +10,7 @@ nobody shares its digits; the groups that are equal after the last pass are exac
 * Only anchors whose group holds several contexts go on to the last pass, with one document for each context;
   there whole windows are sorted.
 
+Digits are compared by 64-bit hashes of their bytes: an anchor with its context, a window with its anchor's part.
 Records travel as packed arrays, first folded inside a task (of equal records the smallest document's is kept,
 the others are repeats already), so a passage in very many documents costs a task one record.
 """
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import Rolling, mix, stash, text_blocks, tidy
+from .common import Rolling, mix, stash, text_blocks, unstash
 from .packed import ROWS, Row, batch, deal, gather, home, home_column, pack, unbatch
 
 WIDTH, GRAM = 50, 24
@@ -82,14 +83,13 @@ class Anchors:
 
 
 def _pair(key: np.ndarray, context: np.ndarray) -> np.ndarray:
-    """40 bits of an anchor with its context, both given as 40 bits."""
-    return mix(key ^ mix(context)) >> _BITS
+    """An anchor with its context in 64 bits."""
+    return mix(key ^ mix(context))
 
 
 #: Kinds of packed rows: first-pass records; anchors that are repeats; anchors whose windows are wanted;
 #: last-pass windows; spans to remove.
 FIRST, REPEAT, WANTED, WINDOW, SPAN = range(5)
-_BITS = np.uint64(24)
 
 
 def _firsts(a: np.ndarray, b: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -107,11 +107,11 @@ def _first_pass(parts: int):
         order, least = _firsts(key, context, ids)
         key, context, ids = key[order], context[order], ids[order]
         other = np.flatnonzero(~least)
-        rows = [*deal(REPEAT, home(ids[other], parts), (ids[other], 0), (_pair(key[other] >> _BITS, context[other] >> _BITS), 5))]
+        rows = [*deal(REPEAT, home(ids[other], parts), (ids[other], 0), (_pair(key[other], context[other]), 8))]
         # One record for each (key, context): repeats inside one text need none.
         new = np.flatnonzero(least & np.concatenate([[True], (key[1:] != key[:-1]) | (context[1:] != context[:-1])]))
         part = (key[new] % np.uint64(parts)).astype(np.int64)
-        rows += deal(FIRST, part, (key[new] >> _BITS, 5), (context[new] >> _BITS, 5), (ids[new], 0))
+        rows += deal(FIRST, part, (key[new], 8), (context[new], 8), (ids[new], 0))
         return batch(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,18 +135,18 @@ def _first_sort(parts: int):
     def run(table: pa.Table) -> pa.Table:
         every = unbatch(table)
         rows = [r for r in every if r[1] != FIRST]
-        key, context, ids = gather([r[3] for r in every if r[1] == FIRST], 5, 5, 0)
+        key, context, ids = gather([r[3] for r in every if r[1] == FIRST], 8, 8, 0)
         order, least = _firsts(key, context, ids)
         key, context, ids = key[order], context[order], ids[order]
         again = ~least
-        rows += deal(REPEAT, home(ids[again], parts), (ids[again], 0), (_pair(key[again], context[again]), 5))
+        rows += deal(REPEAT, home(ids[again], parts), (ids[again], 0), (_pair(key[again], context[again]), 8))
         # Groups of several contexts: the smallest document of each context shows its windows.
         start = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
         group = np.cumsum(start) - 1
         fresh = np.concatenate([[True], (context[1:] != context[:-1]) | start[1:]]) if len(key) else start
         several = (np.bincount(group, weights=fresh) > 1)[group] if len(key) else start
         wanted = several & fresh
-        rows += deal(WANTED, home(ids[wanted], parts), (ids[wanted], 0), (key[wanted], 5))
+        rows += deal(WANTED, home(ids[wanted], parts), (ids[wanted], 0), (key[wanted], 8))
         return pa.Table.from_batches([batch(rows)])
 
     return run
@@ -160,17 +160,17 @@ def _match(owner: np.ndarray, key: np.ndarray, ids: np.ndarray, told_ids: np.nda
     where = np.searchsorted(known, told_ids)
     where = np.minimum(where, len(known) - 1)
     good = known[where] == told_ids
-    shift = np.uint64(40)
-    told = (where[good].astype(np.uint64) << shift) | told_key[good]
-    mine = (np.searchsorted(known, ids)[owner].astype(np.uint64) << shift) | key
+    with np.errstate(over="ignore"):
+        told = mix(told_key[good] + mix(where[good].astype(np.uint64)))
+        mine = mix(key + mix(np.searchsorted(known, ids).astype(np.uint64))[owner])
     return np.isin(mine, told)
 
 
 def _last_pass(parts: int):
     def run(docs: pa.Table, told: pa.Table) -> pa.Table:
         every = unbatch(told)
-        repeat = gather([r[3] for r in every if r[1] == REPEAT], 0, 5)
-        wanted = gather([r[3] for r in every if r[1] == WANTED], 0, 5)
+        repeat = gather([r[3] for r in every if r[1] == REPEAT], 0, 8)
+        wanted = gather([r[3] for r in every if r[1] == WANTED], 0, 8)
         rows: list[Row] = []
         windows: list[tuple[np.ndarray, ...]] = []
         if docs.num_rows and (len(repeat[0]) or len(wanted[0])):
@@ -179,8 +179,7 @@ def _last_pass(parts: int):
                 ids = all_ids[at : at + n]
                 found = Anchors(data, ends)
                 start = np.concatenate([[0], ends[:-1]])
-                cut = found.key >> _BITS
-                hit = np.flatnonzero(_match(found.owner, _pair(cut, found.context >> _BITS), ids, *repeat))
+                hit = np.flatnonzero(_match(found.owner, _pair(found.key, found.context), ids, *repeat))
                 low, high, owner = found.left[hit], found.right[hit], found.owner[hit]
                 mark = _text_marks(data, ends)
                 rows += deal(SPAN, home(ids[owner], parts), (ids[owner], 0), (mark[owner], 4), (low - start[owner], 5), (high - start[owner], 5))
@@ -190,7 +189,7 @@ def _last_pass(parts: int):
                 upto = np.zeros(len(data) + 1, np.int64)
                 np.maximum.at(upto, low, high)
                 upto = np.maximum.accumulate(upto)
-                hit = np.flatnonzero(_match(found.owner, cut, ids, *wanted))
+                hit = np.flatnonzero(_match(found.owner, found.key, ids, *wanted))
                 first = np.maximum(start[found.owner[hit]], found.at[hit] - (WIDTH - GRAM))
                 size = found.at[hit] - first + 1
                 total = np.cumsum(size)
@@ -223,7 +222,7 @@ def _last_pass(parts: int):
                 length = np.diff(np.concatenate([np.flatnonzero(new), [len(own)]]))
                 if len(own):
                     heads = pack((ids[head], 0), (mark[head], 4), (place[head], 5), (length, 4))
-                    rows.append((int(part[own[0]]), WINDOW, len(heads), heads + pack((key[own] >> np.uint64(8), 7))))
+                    rows.append((int(part[own[0]]), WINDOW, len(heads), heads + pack((key[own], 8))))
         return pa.Table.from_batches([batch(rows)])
 
     return run
@@ -240,7 +239,7 @@ def _last_sort(parts: int):
         rows = [r for r in every if r[1] == SPAN]
         shown = [r for r in every if r[1] == WINDOW]
         ids, mark, place, length = gather([r[3][: r[2]] for r in shown], 0, 4, 5, 4)
-        key, = gather([r[3][r[2] :] for r in shown], 7)
+        key, = gather([r[3][r[2] :] for r in shown], 8)
         length = length.astype(np.int64)
         inside = np.arange(len(key)) - np.repeat(np.cumsum(length) - length, length)
         ids, mark, place = np.repeat(ids, length), np.repeat(mark, length), np.repeat(place, length) + inside.astype(np.uint64)
@@ -299,10 +298,13 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
 
     A byte goes when a WIDTH-byte string over it also starts in a document of a smaller doc_id.  Null texts count
     as empty; texts shorter than WIDTH lose nothing; rows of one doc_id never remove from each other; rows
-    without a doc_id lose nothing and remove nothing.  Older columns of the new names are replaced.
+    without a doc_id lose nothing and remove nothing; a doc_id that is no whole number is an error.  Older columns of
+    the new names are replaced.
     """
     spark = docs.sparkSession
     made = [*_COUNTS, *([T.StructField("kept", T.StringType())] if with_text else [])]
+    if not isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
+        raise ValueError("doc_id must be a whole number")
     taken = {f.name.lower() for f in made} | {"_part"}
     docs = docs.select(*[F.col(c).cast("long").alias("doc_id") if c == "doc_id" else F.col(c) for c in docs.columns if c.lower() not in taken])
     others = [f for f in docs.schema.fields if f.name != "text"]
@@ -311,12 +313,11 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     total = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // PART_BYTES) | 1
     told = known.select("doc_id", "text").mapInArrow(_first_pass(parts), ROWS).groupBy("part").applyInArrow(_first_sort(parts), ROWS)
-    told = stash(told)
-    tidy(spark)
+    told = first = stash(told)
     homed = known.select("doc_id", "text", home_column(F.col("doc_id"), parts).alias("_part"))
     told = homed.groupBy("_part").cogroup(told.groupBy("part")).applyInArrow(_last_pass(parts), ROWS)
     told = stash(told.groupBy("part").applyInArrow(_last_sort(parts), ROWS))
-    tidy(spark)
+    unstash(first)
     homed = known.withColumn("_part", home_column(F.col("doc_id"), parts))
     found = homed.groupBy("_part").cogroup(told.groupBy("part")).applyInArrow(_apply(schema), schema)
     lost = docs.filter("doc_id IS NULL")

@@ -147,19 +147,23 @@ def links(distinct: DataFrame, distance: int = 2, spare: int = 3) -> DataFrame:
     cells = F.array(*[F.xxhash64(F.lit(n), F.col("_p").bitwiseAND(F.lit(_signed(sum(masks[g] for g in c))))) for n, c in enumerate(combinations(range(blocks), spare))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_c, held_f = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
 
         def found(cell: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
             child, parent = cell_links(cell, fp, distance)
             return pa.RecordBatch.from_arrays([pa.array(fp[child].view(np.int64)), pa.array(fp[parent].view(np.int64))], ["a", "b"])
 
         for batch in batches:
-            cell = np.concatenate([held_c, batch.column(0).to_numpy()])
-            fp = np.concatenate([held_f, batch.column(1).to_numpy().view(np.uint64)])
-            whole = int(np.searchsorted(cell, cell[-1])) if len(cell) else 0
+            cell, fp = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
+            waiting.append((cell, fp))
+            if not len(cell) or cell[-1] == waiting[0][0][:1]:  # still the one cell
+                continue
+            cell, fp = (np.concatenate(c) for c in zip(*waiting, strict=True))
+            whole = int(np.searchsorted(cell, cell[-1]))
             yield found(cell[:whole], fp[:whole])
-            held_c, held_f = cell[whole:], fp[whole:]
-        yield found(held_c, held_f)
+            waiting = [(cell[whole:], fp[whole:])]
+        if waiting:
+            yield found(*(np.concatenate(c) for c in zip(*waiting, strict=True)))
 
     spread = popped.select(F.explode(cells).alias("_cell"), "fp").repartition("_cell").sortWithinPartitions("_cell", "fp")
     return spread.mapInArrow(run, "a long, b long")
@@ -384,9 +388,7 @@ def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
     decided = stash(near_copies(docs, **options))
     rows = docs.select(*names, row_key().alias("_row_key"))
     kept = rows.join(decided.filter("stays").select(F.col("row_key").alias("_row_key")), "_row_key", "left_semi")
-    if docs.select(row_key().alias("k")).groupBy("k").count().filter("count > 1").limit(1).count():
-        kept = kept.dropDuplicates(["_row_key"])
-    return kept.select(*names)
+    return kept.dropDuplicates(["_row_key"]).select(*names)
 
 
 def op10_simhash(spark, sf_dir: str) -> DataFrame:

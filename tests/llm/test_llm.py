@@ -429,6 +429,8 @@ def test_repeats(docs, none, rows):
         for r in made[i]:
             assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (len(raw), sum(gone), spans, hashlib.sha256(kept).hexdigest()), i
     assert made[None][0].n_removed == 0 and repeats.remove_repeats(none).count() == 0
+    with pytest.raises(ValueError):
+        repeats.remove_repeats(docs.withColumn("doc_id", F.concat(F.lit("a"), "doc_id")))
 
 
 def test_repeats_over_a_junction(spark):
@@ -597,3 +599,22 @@ def test_pipeline(spark, tmp_path, rows):
     spark.createDataFrame([], SCHEMA).write.parquet(str(empty / "documents.parquet"))
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(empty / "labels.parquet"))
     assert corpus_pipeline.run(spark, str(empty)).count() == 0
+
+
+def test_license_table(spark):
+    """Whole licence texts as a table: a file with one of them, framed and a little changed, is labelled and spanned."""
+    rnd = random.Random(6)
+    bag = ["the", "of", "license", "copy", *(f"term{i}" for i in range(300))]
+    texts = {name: " ".join(rnd.choice(bag) for _ in range(900)) for name in ("long-a", "long-b")}
+    table = spark.createDataFrame([*texts.items(), (None, "a b"), ("short", "one"), ("long-a", texts["long-a"])], "label string, text string")
+    notices = licenses.notices_of(table)
+    assert sorted(n for n, _ in notices) == ["long-a", "long-b"]
+    changed = texts["long-a"].upper().split()
+    changed[400] = "changed"
+    rows = [(1, "frame " * 50 + "; ".join(changed) + " tail" * 9), (2, texts["long-b"][:300]), (3, None)]
+    made = {r.doc_id: r for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"), notices=notices).collect()}
+    assert made[1].labels == "long-a" and made[2].labels == "" and made[3].n_words == 0
+    span, = made[1].spans
+    assert (span.first, span.last) == (50, 949) and span.covered > 0.99
+    with pytest.raises(ValueError):
+        licenses.notices_of(table, 100)
