@@ -618,3 +618,20 @@ def test_license_table(spark):
     assert (span.first, span.last) == (50, 949) and span.covered > 0.99
     with pytest.raises(ValueError):
         licenses.notices_of(table, 100)
+
+
+@pytest.mark.parametrize("stage", range(5))
+def test_stages_leave_other_columns_alone(spark, tmp_path, docs, none, stage):
+    """Columns of names that operators make pass through each stage as they are; empty tables go through."""
+    import corpus_pipeline
+
+    names = ["score", "predicted", "kept", "n_removed", "_key", "_each", "_n", "_times", "row_key", "_row_key", "_part", "part", "_aside_0"]
+    spark.createDataFrame([(i, 1) for i in range(60)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    wide = docs.withColumns({n: F.concat(F.lit(f"{n} "), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))) for n in names})
+    name, run = corpus_pipeline.STAGES[stage]
+    made = run(spark, wide, str(tmp_path))
+    if name != "pieces":
+        assert made.columns == wide.columns
+        rows = made.collect()
+        assert rows and all(r[n] == f"{n} {'-' if r.doc_id is None else r.doc_id}" for r in rows for n in names)
+    assert run(spark, none, str(tmp_path)).count() == 0
