@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -113,3 +114,12 @@ def text_blocks(texts, limit: int = 4 << 20) -> Iterator[tuple[int, int, np.ndar
     for at, n in blocks(texts, limit):
         part = [t or b"" for t in texts.slice(at, n).cast(pa.large_binary()).to_pylist()]
         yield at, n, np.frombuffer(b"\n".join([*part, b""]), np.uint8), np.cumsum([len(t) + 1 for t in part])
+
+
+def trim() -> None:
+    """Give back what a task is done with: Python workers outlive it, and so does memory that their allocators hold."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass

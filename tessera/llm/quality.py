@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Rolling, lower_bytes, text_blocks, word_spans
+from .common import Rolling, lower_bytes, text_blocks, trim, word_spans
 
 WORDS = 1 << 15  #: places for hashed words
 SHAPES = 1 << 12  #: places for hashed word shapes
@@ -214,9 +214,10 @@ def score_documents(docs: DataFrame, model: Machine, threshold: float = 0.7) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = Machine(*shared.value)
         for batch in batches:
-            found = [machine.score(*features(data, ends)) for _, _, data, ends in text_blocks(batch.column(at_text))]
+            found = [machine.score(*features(data, ends)) for _, _, data, ends in text_blocks(batch.column(at_text), 1 << 20)]
             score = np.concatenate(found) if found else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score), pa.array((score >= threshold).astype(np.int32))], names=schema.names)
+        trim()
 
     return docs.mapInArrow(run, schema)
 

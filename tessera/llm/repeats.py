@@ -27,12 +27,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import Rolling, mix, stash, text_blocks, unstash
+from .common import Rolling, mix, stash, text_blocks, trim, unstash
 from .packed import ROWS, Row, batch, deal, gather, home, home_column, pack, unbatch
 
 WIDTH, GRAM = 50, 24
 HELD = 3_000_000  #: records that a task folds at once
-PART_BYTES = 12 << 20  #: text bytes in a part
+PART_BYTES = 6 << 20  #: text bytes in a part
 SLICE = BLOCK = 1 << 20  #: bytes hashed at once; an array of 8 bytes each takes 8 MB, some twenty live together
 
 
@@ -127,6 +127,8 @@ def _first_pass(parts: int):
                     held, count = [], 0
         if held:
             yield flush(held)
+        held.clear()
+        trim()
 
     return run
 
@@ -223,6 +225,8 @@ def _last_pass(parts: int):
                 if len(own):
                     heads = pack((ids[head], 0), (mark[head], 4), (place[head], 5), (length, 4))
                     rows.append((int(part[own[0]]), WINDOW, len(heads), heads + pack((key[own], 8))))
+            del windows, key, anchor, ids, mark, place, order
+        trim()
         return pa.Table.from_batches([batch(rows)])
 
     return run

@@ -20,11 +20,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .common import Rolling, lower_bytes, mix, stash, text_blocks, unstash, word_spans, words_of
+from .common import Rolling, lower_bytes, mix, stash, text_blocks, trim, unstash, word_spans, words_of
 
 _EVEN = 0x5555555555555555
 
@@ -210,6 +210,11 @@ def shingle_sets(data: np.ndarray, ends: np.ndarray, width: int) -> list[np.ndar
 RARITY_SHARE, COMMON, COMMON_MOST = 16, 4, 250_000
 
 
+BITS = ("bits0", "bits1", "bits2", "bits3")
+#: Partners that a text is compared with in a round, and rounds, before all pairs; they bear on speed only.
+GUESSES, ROUNDS = 4, 1
+
+
 def prefixes(sets: list[np.ndarray], similarity: float, common: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The rarest shingles of each set, and the set's number: sets of at least this Jaccard similarity share one.
 
@@ -233,6 +238,13 @@ def prefix_length(size: np.ndarray, similarity: float) -> np.ndarray:
     return size - np.ceil(similarity * size - 1e-6).astype(np.int64) + 1
 
 
+def parity_bits(own: np.ndarray) -> np.ndarray:
+    """256 bits of a set, as four numbers: bit i is set if the set has an odd number of hashes that end in i.  Two sets
+    differ in at least as many members as these bits differ."""
+    odd = np.bincount((own & np.uint64(255)).astype(np.int64), minlength=256) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def _set_key(own: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(own.tobytes()) - (1 << 63)
 
@@ -276,7 +288,7 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> Dat
     Texts are linked if the Jaccard similarity of their sets of ``width``-word shingles is at least ``similarity``;
     the groups are the components of all such links.  Every link is found: candidates share a cell, one of the
     rarest shingles that the similarity forces them to share (see prefixes).  First each text is compared with the
-    first and the previous one of its cells; then, in every cell, all pairs that these links have not joined yet
+    first and the previous one of its cells, then with random members of their largest groups; at last, in every cell, all pairs that these links have not joined yet
     and whose lengths and shared cells allow the similarity.  Each is computed exactly.  Of a group the row of the
     smallest doc_id stays (null last).  Null texts count as empty and as copies of one another.
     row_key: xxhash64(doc_id, text).
@@ -286,14 +298,16 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> Dat
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, n, data, ends in text_blocks(batch.column(2)):
+            for at, n, data, ends in text_blocks(batch.column(2), 1 << 20):
                 own = shingle_sets(data, ends, width)
                 node = np.array([_set_key(s) for s in own], np.int64)
+                bits = np.array([parity_bits(s) for s in own], np.int64).reshape(-1, 4).T.copy()
                 shown = [s if k % RARITY_SHARE == 0 else s[:0] for s, k in zip(own, node.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(at, n) for i in range(2)), pa.array(node), _lists(shown)], ["doc_id", "row_key", "node", "sample"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(at, n) for i in range(2)), pa.array(node), _lists(shown), *(pa.array(c) for c in bits)], ["doc_id", "row_key", "node", "sample", *BITS])
+        trim()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = stash(keyed.mapInArrow(marks, f"doc_id {kind}, row_key long, node long, sample array<long>"))
+    rows = stash(keyed.mapInArrow(marks, f"doc_id {kind}, row_key long, node long, sample array<long>, " + ", ".join(f"{b} long" for b in BITS)))
     sampled = rows.filter(F.size("sample") > 0).groupBy("node").agg(F.first("sample").alias("sample"))
     counted = sampled.select(F.explode("sample").alias("shingle")).groupBy("shingle").count().filter(F.col("count") >= COMMON)
     top = counted.orderBy(F.desc("count"), "shingle").limit(COMMON_MOST).toPandas()
@@ -304,7 +318,7 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> Dat
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # texts of one set need their cells once a task
         for batch in batches:
-            for _, _, data, ends in text_blocks(batch.column(0)):
+            for _, _, data, ends in text_blocks(batch.column(0), 1 << 20):
                 sets, nodes = [], []
                 for own in shingle_sets(data, ends, width):
                     node = _set_key(own)
@@ -321,7 +335,7 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> Dat
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, n, data, ends in text_blocks(batch.column(1)):
+            for at, n, data, ends in text_blocks(batch.column(1), 1 << 20):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, n), _lists(shingle_sets(data, ends, width))], ["node", "shingles"])
 
     def linked(pairs: DataFrame) -> DataFrame:
@@ -339,19 +353,45 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> Dat
     # A spanning guess, so that the copies of one text are not compared all with all.
     guess = cells.select(F.col("head").alias("a"), F.col("node").alias("b"), F.col("head_size").alias("low"), F.col("size").alias("high"))
     guess = guess.union(cells.select("prev", "node", "prev_size", "size")).filter("a <> b").filter(F.col("low") >= F.lit(similarity) * F.col("high") - 1e-6)
-    guess = guess.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.first("high").alias("high")).filter("n * 20 >= high").select("a", "b")
-    guess = stash(guess)
+    guess = guess.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.first("high").alias("high")).filter("n * 20 >= high")
+    # The few partners that share most cells: what they leave apart, the pass over all pairs below joins.
+    closest = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("n"), "a"))
+    guess = stash(guess.withColumn("place", closest).filter(F.col("place") <= GUESSES).select("a", "b"))
     first = linked(guess)
     roots = stash(connected_components(first))
 
+    # Rounds of one partner a cell: members of other components meet a random one of the cell's largest, so a group of
+    # texts that are near each other grows together before all pairs that are still apart are looked at.
+    tried = guess
+    for turn in range(ROUNDS):
+        rooted = cells.select("cell", "size", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        pick = F.max_by(F.struct("node", "size"), F.xxhash64(F.lit(turn), "node"))
+        sides = rooted.groupBy("cell", "root").agg(F.count(F.lit(1)).alias("count"), pick.alias("pick"))
+        major = sides.groupBy("cell").agg(F.max_by(F.struct("root", "pick"), F.struct("count", "root")).alias("top"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+        met = rooted.join(major, "cell").filter("root <> top.root").select("node", "size", F.col("top.pick.node").alias("other"), F.col("top.pick.size").alias("far"))
+        met = met.filter(F.least("size", "far") >= F.lit(similarity) * F.greatest("size", "far") - 1e-6).groupBy("node", "other").count()
+        place = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("count"), "other"))
+        met = met.withColumn("place", place).filter(F.col("place") <= GUESSES).select(F.greatest("node", "other").alias("b"), F.least("node", "other").alias("a"))
+        new = stash(met.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
+        found = linked(new)
+        if not found.limit(1).count():
+            break
+        tried, first = tried.union(new), first.union(found)
+        roots = stash(connected_components(first))
+    guess = tried
+
     # All pairs of a cell that are not joined yet: those within the cell's most frequent group need no row.
     rooted = cells.select("cell", "size", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     major = rooted.groupBy("cell", "root").count().groupBy("cell").agg(F.max_by("root", F.struct("count", "root")).alias("major"), F.count(F.lit(1)).alias("n"))
-    rooted = stash(rooted.join(major.filter("n > 1").select("cell", "major"), "cell").withColumn("major", F.col("root") == F.col("major")))
-    x = rooted.filter("NOT major").select("cell", F.col("node").alias("x"), F.col("root").alias("rx"), F.col("size").alias("nx"))
-    y = rooted.select("cell", F.col("node").alias("y"), F.col("root").alias("ry"), F.col("size").alias("ny"), "major")
+    bits = rows.dropDuplicates(["node"]).select("node", *BITS)
+    rooted = rooted.join(major.filter("n > 1").select("cell", "major"), "cell").withColumn("major", F.col("root") == F.col("major"))
+    rooted = stash(rooted.join(bits, "node"))
+    x = rooted.filter("NOT major").select("cell", F.col("node").alias("x"), F.col("root").alias("rx"), F.col("size").alias("nx"), *[F.col(b).alias(f"x{b}") for b in BITS])
+    y = rooted.select("cell", F.col("node").alias("y"), F.col("root").alias("ry"), F.col("size").alias("ny"), "major", *BITS)
+    # Sets this similar differ in (1 - s) / (1 + s) of their sizes' sum at most, and so do their parity bits.
+    apart = sum((F.bit_count(F.col(b).bitwiseXOR(F.col(f"x{b}"))) for b in BITS), F.lit(0))
     low, high = F.least("nx", "ny"), F.greatest("nx", "ny")
-    met = x.join(y, "cell").filter("rx <> ry AND (major OR x < y)").filter(low >= F.lit(similarity) * high - 1e-6)
+    met = x.join(y, "cell").filter("rx <> ry AND (major OR x < y)").filter((low >= F.lit(similarity) * high - 1e-6) & (apart <= F.lit((1 - similarity) / (1 + similarity)) * (low + high) + 1e-6))
     met = met.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count(F.lit(1)).alias("n"), F.first(low).alias("low"), F.first(high).alias("high"))
     # What two sets share is at most their common cells and one set's shingles outside its cells: the set whose
     # last cell comes first has all its shared cells in the other's.  The longer one has more outside.

@@ -545,6 +545,15 @@ def test_cells_link_all_near_fingerprints():
     assert parts(pairwise) == parts(balls) and len(parts(balls))
 
 
+def test_parity_bits_bound_the_difference():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        pool = rng.integers(0, 1 << 63, 400).astype(np.uint64)
+        a, b = (np.unique(rng.choice(pool, rng.integers(0, 300))) for _ in range(2))
+        apart = np.bitwise_count((simhash.parity_bits(a) ^ simhash.parity_bits(b)).view(np.uint64)).sum()
+        assert apart <= len(np.setxor1d(a, b))
+
+
 def test_near_copies(spark):
     rnd = random.Random(9)
     text = lambda: [rnd.choice("abcdefghijklmnop") + rnd.choice("abcdefgh") + str(rnd.randrange(60)) for _ in range(400)]
