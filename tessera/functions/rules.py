@@ -7,21 +7,27 @@ from pyspark.sql import functions as F
 
 # Tie class by relation.
 TIE_CLASS = {
-    "interaction": "replied_to mentions quoted retweeted forwarded_from follows met_with visited recruited"
-    " subordinate_to commanded appointed_by imprisoned_by family_of married_to friend_of sibling_of related_to knew"
-    " mentored served_with succeeded",
-    "affiliation": "posted_in member_of joined served_in led founded employed_by studied_at expelled_from"
-    " propagandized_for worked_for co_affiliated board_member_of director_of chairs affiliated_with owns owned_by"
-    " controls subsidiary_of fiscal_sponsor_of project_of part_of reports_to managed operates_in funded donated_to"
-    " granted provided_resources_to contracted coordinated_with",
-    "participation": "participated_in fought_in wounded_at attended_event responded_to",
-    "biographical": "born_in resided_in located_in lived_in promoted_to died_in",
-    "stance": "advised supported opposed influenced_by fought_against admired read believed_in allied_with"
-    " sympathized_with lobbied lobbied_for",
-    "causal": "caused caused_by contributed_to prevented led_to resulted_in",
-    "cooccurrence": "co_occurs_with co_present_in_scene",
-    "other": "alias_of",
-}
+    "interaction": (
+        "replied_to", "mentions", "quoted", "retweeted", "forwarded_from", "follows", "met_with", "visited", "recruited",
+        "subordinate_to", "commanded", "appointed_by", "imprisoned_by", "family_of", "married_to", "friend_of", "sibling_of",
+        "related_to", "knew", "mentored", "served_with", "succeeded",
+    ),
+    "affiliation": (
+        "posted_in", "member_of", "joined", "served_in", "led", "founded", "employed_by", "studied_at", "expelled_from",
+        "propagandized_for", "worked_for", "co_affiliated", "board_member_of", "director_of", "chairs", "affiliated_with",
+        "owns", "owned_by", "controls", "subsidiary_of", "fiscal_sponsor_of", "project_of", "part_of", "reports_to", "managed",
+        "operates_in", "funded", "donated_to", "granted", "provided_resources_to", "contracted", "coordinated_with",
+    ),
+    "participation": ("participated_in", "fought_in", "wounded_at", "attended_event", "responded_to"),
+    "biographical": ("born_in", "resided_in", "located_in", "lived_in", "promoted_to", "died_in"),
+    "stance": (
+        "advised", "supported", "opposed", "influenced_by", "fought_against", "admired", "read", "believed_in", "allied_with",
+        "sympathized_with", "lobbied", "lobbied_for",
+    ),
+    "causal": ("caused", "caused_by", "contributed_to", "prevented", "led_to", "resulted_in"),
+    "cooccurrence": ("co_occurs_with", "co_present_in_scene"),
+    "other": ("alias_of",),
+}
 CLASSES = ("interaction", "affiliation", "participation", "biographical", "stance", "causal", "cooccurrence", "other")
 # Tie class by the target's label, for relations not listed.
 LABEL_CLASS = {"ORG": "affiliation", "INSTITUTION": "affiliation", "EVENT": "participation", "LOCATION": "biographical", "RANK": "biographical"}
@@ -52,18 +58,25 @@ NEGATIVE_PARTS = (
 )
 # Connection type by relation.
 CONNECTION = {
-    "physical": "met_with visited family_of married_to sibling_of related_to employed_by worked_for served_with"
-    " served_in fought_against fought_in wounded_at commanded recruited imprisoned_by appointed_by funded donated_to"
-    " granted coordinated_with provided_resources_to contracted responded_to participated_in",
-    "ideological": "lobbied lobbied_for advised supported opposed influenced_by admired read believed_in allied_with"
-    " sympathized_with propagandized_for",
-    "organizational": "member_of joined led founded studied_at expelled_from subordinate_to co_affiliated"
-    " board_member_of director_of chairs affiliated_with owns owned_by controls subsidiary_of fiscal_sponsor_of"
-    " project_of part_of reports_to managed operates_in",
-    "biographical": "promoted_to born_in resided_in located_in lived_in died_in",
-    "cooccurrence": "co_occurs_with",
-    "none": "alias_of",
-}
+    "physical": (
+        "met_with", "visited", "family_of", "married_to", "sibling_of", "related_to", "employed_by", "worked_for",
+        "served_with", "served_in", "fought_against", "fought_in", "wounded_at", "commanded", "recruited", "imprisoned_by",
+        "appointed_by", "funded", "donated_to", "granted", "coordinated_with", "provided_resources_to", "contracted",
+        "responded_to", "participated_in",
+    ),
+    "ideological": (
+        "lobbied", "lobbied_for", "advised", "supported", "opposed", "influenced_by", "admired", "read", "believed_in",
+        "allied_with", "sympathized_with", "propagandized_for",
+    ),
+    "organizational": (
+        "member_of", "joined", "led", "founded", "studied_at", "expelled_from", "subordinate_to", "co_affiliated",
+        "board_member_of", "director_of", "chairs", "affiliated_with", "owns", "owned_by", "controls", "subsidiary_of",
+        "fiscal_sponsor_of", "project_of", "part_of", "reports_to", "managed", "operates_in",
+    ),
+    "biographical": ("promoted_to", "born_in", "resided_in", "located_in", "lived_in", "died_in"),
+    "cooccurrence": ("co_occurs_with",),
+    "none": ("alias_of",),
+}
 IDEOLOGICAL_PARTS = ("support", "oppos", "influenc", "admir", "ideolog", "propagand", "believ", "sympath", "endors", "inspir", "allied", "praise")
 PHYSICAL_PARTS = (
     "met", "visit", "fund", "financ", "fought", "combat", "marri", "famil", "sibling", "employ", "arrest", "imprison",
@@ -74,27 +87,27 @@ ORGANIZATIONAL_PARTS = ("member", "join", "founded", "studi", "expel", "subordin
 CORE_LABELS = ("PERSON", "ORG", "INSTITUTION", "LOCATION", "GPE", "RANK", "EVENT")
 _KIND = {"person": ("PERSON",), "org": ("ORG", "INSTITUTION"), "place": ("LOCATION", "GPE"), "rank": ("RANK",), "event": ("EVENT",)}
 SIGNATURES = {
-    "employed_by": "person -> org person",
-    "led": "person -> org event",
-    "studied_at": "person -> org place",
-    "founded": "person org -> org",
-    "founded_by": "org -> person org",
-    "owns": "person org -> org",
-    "owned_by": "org -> person org",
-    "born_in": "person -> place",
-    "lived_in": "person -> place",
-    "resided_in": "person -> place",
-    "died_in": "person -> place",
-    "located_in": "person org place event -> place",
-    "married_to": "person -> person",
-    "sibling_of": "person -> person",
-    "family_of": "person -> person",
-    "promoted_to": "person -> rank",
-    "board_member_of": "person -> org",
-    "director_of": "person -> org",
-    "subsidiary_of": "org -> org",
-    "fiscal_sponsor_of": "org -> org",
-    "project_of": "org -> org",
+    "employed_by": (("person",), ("org", "person")),
+    "led": (("person",), ("org", "event")),
+    "studied_at": (("person",), ("org", "place")),
+    "founded": (("person", "org"), ("org",)),
+    "founded_by": (("org",), ("person", "org")),
+    "owns": (("person", "org"), ("org",)),
+    "owned_by": (("org",), ("person", "org")),
+    "born_in": (("person",), ("place",)),
+    "lived_in": (("person",), ("place",)),
+    "resided_in": (("person",), ("place",)),
+    "died_in": (("person",), ("place",)),
+    "located_in": (("person", "org", "place", "event"), ("place",)),
+    "married_to": (("person",), ("person",)),
+    "sibling_of": (("person",), ("person",)),
+    "family_of": (("person",), ("person",)),
+    "promoted_to": (("person",), ("rank",)),
+    "board_member_of": (("person",), ("org",)),
+    "director_of": (("person",), ("org",)),
+    "subsidiary_of": (("org",), ("org",)),
+    "fiscal_sponsor_of": (("org",), ("org",)),
+    "project_of": (("org",), ("org",)),
 }
 # Relations with at most one target a subject.
 FUNCTIONAL = ("born_in", "birth_date", "date_of_birth", "died_in", "place_of_death", "date_of_death")
@@ -158,11 +171,11 @@ def _any(column: Column, parts: tuple[str, ...]) -> Column:
     return column.rlike("|".join(parts))
 
 
-def _listed(key: Column, groups: dict[str, str]) -> Column:
+def _listed(key: Column, groups: dict[str, tuple[str, ...]]) -> Column:
     """The group that lists the key, else null: a chain of set look-ups, no join."""
     chain = F.lit(None).cast("string")
     for name, members in reversed(groups.items()):
-        chain = F.when(key.isin(*members.split()), F.lit(name)).otherwise(chain)
+        chain = F.when(key.isin(*members), F.lit(name)).otherwise(chain)
     return chain
 
 
@@ -216,15 +229,15 @@ def connection_type(rel: Column, target: Column) -> Column:
     )
 
 
-def allowed_labels(side: str) -> tuple[str, ...]:
-    return tuple(label for word in side.split() for label in _KIND[word])
+def allowed_labels(side: tuple[str, ...]) -> tuple[str, ...]:
+    return tuple(label for word in side for label in _KIND[word])
 
 
 def type_violation(rel: Column, source: Column, target: Column) -> Column:
     """A label that the relation's signature rules out; labels that aren't modelled pass."""
     found = F.lit(False)
     for name, sides in SIGNATURES.items():
-        left, right = (allowed_labels(s) for s in sides.split("->"))
+        left, right = (allowed_labels(s) for s in sides)
         wrong = lambda label, good: label.isin(*[x for x in CORE_LABELS if x not in good])
         found = F.when(rel == name, wrong(source, left) | wrong(target, right)).otherwise(found)
     return F.coalesce(found, F.lit(False))

@@ -66,8 +66,8 @@ def _like(key: str, parts) -> str:
     return "(" + " OR ".join(f"contains({key}, '{p}')" for p in parts) + ")"
 
 
-def _listed(key: str, groups: dict[str, str]) -> str:
-    return "CASE " + " ".join(f"WHEN {key} IN {_in(v.split())} THEN '{n}'" for n, v in groups.items()) + " END"
+def _listed(key: str, groups: dict[str, tuple[str, ...]]) -> str:
+    return "CASE " + " ".join(f"WHEN {key} IN {_in(v)} THEN '{n}'" for n, v in groups.items()) + " END"
 
 
 _LABELLED = "CASE target_label " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in rules.LABEL_CLASS.items()) + " END"
@@ -89,7 +89,7 @@ SYMMETRIC = f"(rel_type IN {_in(rules.SYMMETRIC)} OR {_like('rel_type', rules.SY
 def _violation() -> str:
     out = []
     for name, sides in rules.SIGNATURES.items():
-        left, right = (rules.allowed_labels(s) for s in sides.split("->"))
+        left, right = (rules.allowed_labels(s) for s in sides)
         bad = [f"{c} IN {_in([x for x in rules.CORE_LABELS if x not in good])}" for c, good in (("source_label", left), ("target_label", right))]
         out.append(f"WHEN rel_type = '{name}' THEN {bad[0]} OR {bad[1]}")
     return "CASE " + " ".join(out) + " ELSE false END"

@@ -1,10 +1,12 @@
 """Operators on small literals with their expected results."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import domain, ontology, rules, text, urls
-from tessera.operators import extract, narrative, network, quality, resolve, scoring
+from tessera.operators import documents, extract, narrative, network, quality, resolve, scoring
 from tessera.operators.components import connected_components
 
 
@@ -80,6 +82,7 @@ def test_ontology():
 def test_domain(spark):
     assert values(spark, domain.demonym_place, ["Americans", "Prussian", "Mars"]) == ["United States", "Prussia", None]
     ranks = {r.form: r for r in domain.INTERWAR.rank_table(spark).collect()}
+    assert [ranks[k].canonical for k in ("stabschef", "general", "uffz")] == ["Oberster SA-Führer", "General der Infanterie", "Unteroffizier"]
     assert ranks["sasturmmann"].level == 2 and ranks["sturmmann"].org == "SA/SS" and ranks["leutnant"].level == 14
     frame = table(spark, [(1919, "NSDAP"), (1930, "NSDAP"), (1850, None), (1936, "Reichswehr"), (None, "SPD")], "y int, o string")
     assert [r[0] for r in frame.select(domain.anachronism(F.col("y"), F.col("o"))).collect()] == ["before it existed", "", "outside the period", "after it ended", ""]
@@ -227,3 +230,19 @@ def test_expansion_and_verify(spark):
 def test_percentiles(spark):
     frame = spark.range(1, 12).withColumnRenamed("id", "v")
     assert tuple(network.nearest_rank(frame, "v").first()) == (6, 9)
+
+
+def test_script_lines():
+    kinds = {
+        "INT. HOUSE - DAY": (0, ""), "EXT/": (0, ""), "INT": (2, ""), "  cut to:": (0, ""), "GANDALF": (1, "Gandalf"), "  O'NEIL (V.O.)": (1, "O'Neil"),
+        "BILBO (softly) now": (2, ""), "THE END": (2, ""), "Bilbo": (2, ""), "A B C D E": (2, ""), "ONE -- TWO": (2, ""), "": (2, ""), " " * 21 + "THORIN": (2, ""),
+    }
+    assert {k: documents.line_kind(k) for k in kinds} == kinds
+
+
+def test_deep_replies(spark):
+    data = {"id": "0", "text": "x"}
+    for i in range(1, 200):
+        data = {"id": str(i), "text": "x", "replies": [data]}
+    made = documents.comment_tree(table(spark, [(json.dumps(data),)], "data string"))
+    assert made.count() == 200 and made.agg(F.max("level")).first()[0] == 199
