@@ -3,20 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import permutations
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.rules import CLASSES, NON_PROJECTING
+from ..storage import stash
 from .components import connected_components
 
 
-def _pairs(members: DataFrame, group: str, member: str, weight: str) -> DataFrame:
-    """(group, a, b, weight) for a < b within each group."""
-    left = members.select(group, F.col(member).alias("a"), weight)
-    right = members.select(group, F.col(member).alias("b"))
-    return left.join(right, group).filter("a < b")
+def _pairs(members: DataFrame, group: str, member: str, weight: str, block: int = 1000) -> DataFrame:
+    """(group, a, b, weight) for a < b within each group; members: also _k, at least the group's size.
+
+    A group of more than ``block`` members is dealt to blocks that meet pairwise, so no task holds a hot group."""
+    blocks = F.ceil(F.col("_k") / block)
+    mine = F.pmod(F.xxhash64(member), blocks)
+    every = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
+    left = members.select(group, F.col(member).alias("a"), weight, mine.alias("_i"), every.alias("_j"))
+    right = members.select(group, F.col(member).alias("b"), mine.alias("_j"), every.alias("_i"))
+    return left.join(right, [group, "_i", "_j"]).filter("a < b").drop("_i", "_j")
 
 
 def cooccurrence(mentions: DataFrame, doc: str = "doc_id", entity: str = "entity_id", min_shared: int = 2) -> DataFrame:
@@ -132,13 +139,28 @@ def _signed(edges: DataFrame) -> DataFrame:
     return edges.filter("source <> target").select(F.least("source", "target").alias("a"), F.greatest("source", "target").alias("b"), sign.alias("s"), "rel_type").filter("s <> 0")
 
 
+def _upward(edges: DataFrame, weight: str) -> DataFrame:
+    """(x, y, weight) of simple edges (a, b, weight), from the end of lower degree to the other, ties by id; x, y:
+    structs of degree, id, total and largest weight.  No end has more than sqrt(2 * edges) edges going out."""
+    ends = edges.select(F.explode(F.array("a", "b")).alias("id"), weight).groupBy("id").agg(F.count(F.lit(1)).alias("d"), F.sum(weight).alias("t"), F.max(weight).alias("m"))
+    side = lambda end, name: ends.select(F.col("id").alias(end), F.struct("d", "id", "t", "m").alias(name))
+    both = edges.join(side("a", "_a"), "a").join(side("b", "_b"), "b")
+    return both.select(F.least("_a", "_b").alias("x"), F.greatest("_a", "_b").alias("y"), weight)
+
+
+def _triangles(upward: DataFrame, weight: str) -> DataFrame:
+    """(u, v, w, uv, uw, vw): every triangle once, with its sides' weights."""
+    one = upward.select(F.col("x.id").alias("_u"), F.col("x").alias("u"), F.col("y").alias("v"), F.col(weight).alias("uv"))
+    two = upward.select(F.col("x.id").alias("_u"), F.col("y").alias("w"), F.col(weight).alias("uw"))
+    wedges = one.join(two, "_u").filter("v < w").withColumns({"_v": F.col("v.id"), "_w": F.col("w.id")})
+    closing = upward.select(F.col("x.id").alias("_v"), F.col("y.id").alias("_w"), F.col(weight).alias("vw"))
+    return wedges.join(closing, ["_v", "_w"]).select("u", "v", "w", "uv", "uw", "vw")
+
+
 def signed_balance(edges: DataFrame) -> DataFrame:
-    """(balanced, unbalanced, balance_pct): triangles of net signs, each once (a < b < c)."""
-    net = _signed(edges).groupBy("a", "b").agg(F.signum(F.sum("s")).alias("s")).filter("s <> 0")
-    one = net.select("a", "b", F.col("s").alias("s1"))
-    two = net.select(F.col("a").alias("b"), F.col("b").alias("c"), F.col("s").alias("s2"))
-    three = net.select("a", F.col("b").alias("c"), F.col("s").alias("s3"))
-    product = one.join(two, "b").join(three, ["a", "c"]).select((F.col("s1") * F.col("s2") * F.col("s3")).alias("p"))
+    """(balanced, unbalanced, balance_pct): triangles of net signs, each once."""
+    net = stash(_signed(edges).groupBy("a", "b").agg(F.signum(F.sum("s")).alias("s")).filter("s <> 0"))
+    product = _triangles(_upward(net, "s"), "s").select((F.col("uv") * F.col("uw") * F.col("vw")).alias("p"))
     found = product.agg(F.count(F.when(F.col("p") > 0, 1)).alias("balanced"), F.count(F.when(F.col("p") < 0, 1)).alias("unbalanced"))
     return found.withColumn("balance_pct", F.round(100.0 * F.col("balanced") / F.nullif(F.col("balanced") + F.col("unbalanced"), F.lit(0)), 1))
 
@@ -151,6 +173,7 @@ def polarity_conflicts(edges: DataFrame) -> DataFrame:
 
 def graph_quality(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(nodes, edges, components, isolates, largest_pct, density) of nodes (id) and simple edges (a, b)."""
+    edges = stash(edges.select("a", "b"))
     roots = connected_components(edges)
     all_nodes = nodes.select("id").distinct().join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     sizes = all_nodes.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
@@ -181,18 +204,18 @@ def constraint(edges: DataFrame) -> DataFrame:
 
     p_ij is i's share of weight to j, m_jq j's weight to q over j's largest; constraint = sum over contacts j of
     (p_ij + sum over q of p_iq p_qj) ** 2, effective size = sum over j of 1 - sum over q of p_iq m_jq."""
-    both = edges.select(F.col("a").alias("i"), F.col("b").alias("j"), "weight").unionByName(edges.select(F.col("b").alias("i"), F.col("a").alias("j"), "weight"))
-    totals = both.groupBy("i").agg(F.sum("weight").alias("_t"), F.max("weight").alias("_m"))
-    p = both.join(totals, "i").select("i", "j", (F.col("weight") / F.col("_t")).alias("p"), (F.col("weight") / F.col("_m")).alias("m"))
-    via = p.select("i", F.col("j").alias("q"), F.col("p").alias("p1"))
-    on = p.select(F.col("i").alias("q"), "j", F.col("p").alias("p2"))
-    indirect = via.join(on, "q").filter("i <> j").groupBy("i", "j").agg(F.sum(F.col("p1") * F.col("p2")).alias("ind"))
-    reached = p.select("i", "j", "p").join(indirect, ["i", "j"], "left").withColumn("c", F.pow(F.col("p") + F.coalesce("ind", F.lit(0.0)), 2))
-    burt = reached.groupBy("i").agg(F.sum("c").alias("constraint"))
-    shared = via.join(p.select(F.col("i").alias("j"), F.col("j").alias("q"), "m"), "q").join(p.select("i", "j"), ["i", "j"], "left_semi")
-    redundant = shared.groupBy("i").agg(F.sum(F.col("p1") * F.col("m")).alias("r"))
-    size = p.groupBy("i").agg(F.count(F.lit(1)).alias("n")).join(redundant, "i", "left").select("i", (F.col("n") - F.coalesce("r", F.lit(0.0))).alias("effective_size"))
-    return burt.join(size, "i").select(F.col("i").alias("id"), "constraint", "effective_size")
+    upward = stash(_upward(stash(edges.select("a", "b", "weight")), "weight"))
+    found = _triangles(upward, "weight")
+    sides = {("u", "v"): "uv", ("u", "w"): "uw", ("v", "w"): "vw"}
+    side = lambda x, y: F.col(sides.get((x, y)) or sides[y, x])
+    shares = []
+    for i, j, q in permutations("uvw"):  # contact j of i, reached through their shared contact q
+        to_q = side(i, q) / F.col(f"{i}.t")
+        shares.append(F.struct(F.col(f"{i}.id").alias("i"), F.col(f"{j}.id").alias("j"), (to_q * side(q, j) / F.col(f"{q}.t")).alias("ind"), (to_q * side(j, q) / F.col(f"{j}.m")).alias("red")))
+    indirect = found.select(F.inline(F.array(*shares))).groupBy("i", "j").agg(F.sum("ind").alias("ind"), F.sum("red").alias("red"))
+    ends = [F.struct(F.col(f"{i}.id").alias("i"), F.col(f"{j}.id").alias("j"), (F.col("weight") / F.col(f"{i}.t")).alias("p")) for i, j in ("xy", "yx")]
+    reached = upward.select(F.inline(F.array(*ends))).join(indirect, ["i", "j"], "left").fillna(0.0, ["ind", "red"])
+    return reached.groupBy(F.col("i").alias("id")).agg(F.sum(F.pow(F.col("p") + F.col("ind"), 2)).alias("constraint"), (F.count(F.lit(1)) - F.sum("red")).alias("effective_size"))
 
 
 def cut_points(edges: DataFrame) -> DataFrame:
@@ -200,6 +223,7 @@ def cut_points(edges: DataFrame) -> DataFrame:
 
     Depth-first search by component; a component has to fit in a task's memory, as any exact cut search needs
     its whole graph: an edge costs about 200 bytes."""
+    edges = stash(edges.select("a", "b"))
     roots = connected_components(edges)
     placed = edges.join(roots.withColumnRenamed("node", "a"), "a").select("root", "a", "b")
     kind = dict(edges.dtypes)["a"]

@@ -9,6 +9,7 @@ from ..functions import rules
 from ..operators import extract, narrative, network, quality, scoring
 from ..operators.components import connected_components
 from ..sources.files import best_records
+from ..storage import stash
 from .registry import query
 
 RELATIONS = (
@@ -289,7 +290,7 @@ def _graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_BACKBONE + """, e AS (SELECT a AS x, b AS y FROM g UNION SELECT b, a FROM g), w(n, r) AS (SELECT x, x FROM e UNION SELECT e.y, w.r FROM w JOIN e ON e.x = w.n) SELECT n AS node, min(r) AS root FROM w GROUP BY n""")
 def components(spark, sf_dir):
-    return connected_components(_graph(spark, sf_dir))
+    return connected_components(stash(_graph(spark, sf_dir)))
 
 
 @query(_BACKBONE + """, e AS (SELECT a AS x, b AS y FROM g UNION SELECT b, a FROM g), w(n, r) AS (SELECT x, x FROM e UNION SELECT e.y, w.r FROM w JOIN e ON e.x = w.n), k AS (SELECT n, min(r) AS root FROM w GROUP BY n),

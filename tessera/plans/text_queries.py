@@ -65,15 +65,23 @@ def extracted_dates(spark, sf_dir):
 @query(r"""WITH d AS (SELECT doc_id, trim(regexp_replace(regexp_replace(lower(text), '[^\p{L}\p{N}\s]', '', 'g'), '\s+', ' ', 'g')) AS t FROM documents), b AS (SELECT item_id, trim(regexp_replace(regexp_replace(lower(text), '[^\p{L}\p{N}\s]', '', 'g'), '\s+', ' ', 'g')) AS e FROM benchmark)
 SELECT item_id, count(*) AS n_docs, min(doc_id) AS first_doc FROM b JOIN d ON contains(t, e) GROUP BY 1""")
 def verbatim_evidence(spark, sf_dir):
-    """Benchmark items that documents quote; candidates share the item's first five folded words."""
+    """Benchmark items that documents quote.
+
+    The first and the last word of a quote may be cut within words; items of seven words or more join on words 2 to
+    6, the others (three words at least) on word 2, and what is shorter still is sought in every text."""
     fold = text.fold_evidence
     items = table(spark, sf_dir, "benchmark").select("item_id", fold(F.col("text")).alias("e")).withColumn("w", F.split("e", " "))
     docs = table(spark, sf_dir, "documents").select("doc_id", fold(F.col("text")).alias("t")).withColumn("w", F.split("t", " "))
-    head = lambda w, i: F.array_join(F.slice(w, i, 5), " ")
-    # The first and the last word of a quote may be cut within words, so the join is on words 2 to 6.
-    asked = items.select("item_id", "e", head(F.col("w"), F.lit(2)).alias("k"))
-    grams = docs.withColumn("k", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("w") - 4)), lambda i: head(F.col("w"), i))))).select("doc_id", "t", "k")
-    found = grams.join(asked, "k").filter(F.contains("t", F.col("e"))).select("item_id", "doc_id").distinct()
+    gram = lambda i: F.xxhash64(F.array_join(F.slice("w", i, 5), " "))
+    width = F.size("w")
+    long_items = items.filter(width > 6).select("item_id", "e", gram(F.lit(2)).alias("k"))
+    short_items = items.filter(width.between(3, 6)).select("item_id", "e", F.element_at("w", 2).alias("k"))
+    grams = docs.select("doc_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), width - 4)), gram))).alias("k"))
+    words = docs.select("doc_id", F.explode(F.array_distinct("w")).alias("k"))
+    hits = grams.join(long_items, "k").drop("k").unionByName(words.join(short_items, "k").drop("k")).distinct()
+    found = docs.join(hits, "doc_id").filter(F.contains("t", F.col("e"))).select("item_id", "doc_id")
+    brief = items.filter(width < 3).select("item_id", "e")
+    found = found.unionByName(docs.join(brief, F.contains(F.col("t"), F.col("e"))).select("item_id", "doc_id"))
     return found.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_docs"), F.min("doc_id").alias("first_doc"))
 
 
@@ -95,7 +103,7 @@ def page_links(spark, sf_dir):
 @query()
 def crawl_levels(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
-    seeds = pages.orderBy("page_id").limit(5).select("url")
+    seeds = pages.groupBy(urls.host_key(F.col("url")).alias("host")).agg(F.min_by("url", "page_id").alias("url")).select("url")  # the first page of every host
     return crawl.crawl(pages, seeds, 3)
 
 

@@ -10,7 +10,7 @@ import pytest
 from tessera.plans import registry
 
 FOLDER = Path(os.environ.get("TESSERA_TEST_TABLES", "/root/testdata/sf0.001"))
-SLOW = {"burt_measures", "graph_quality", "components"}
+SLOW = {"graph_quality", "components"}
 
 
 def plain(value):
