@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import acronym, clean_surface, name_key, org_marker, stable_id
+from ..storage import stash
 
 #: Least similarity of names by label.
 THRESHOLDS = {"PERSON": 0.85, "ORG": 0.72, "LOCATION": 0.82, "EVENT": 0.92}
@@ -215,10 +216,32 @@ def resolve_endpoints(edges: DataFrame, entities: DataFrame) -> DataFrame:
     return out.withColumns({"source": F.col("_sid"), "target": F.col("_tid")}).drop("_s", "_t", "_sid", "_tid").filter("source <> target")
 
 
+# Words of organisations' names whose plural may stand for the singular, in -s and in -ies.
+_PLURAL_S = r"(?i)\b(foundation|institute|institution|endowment|fund|trust|association|college|corporation|council|committee|union|party|center|centre|department|bank|federation|alliance|league|brotherhood|group|school|club|board|office)s\b"
+_PLURAL_IES = r"(?i)\b(universit|compan|societ|agenc|ministr|facult|academ)ies\b"
+
+
+def clean_org_surfaces(entities: DataFrame) -> DataFrame:
+    """Organisations' names without a leading "the", and in the singular where the singular is an entity too; the
+    name before becomes an alias, and what now has one key and label is one entity."""
+    org = F.col("label").isin("ORG", "INSTITUTION")
+    bare = F.coalesce(F.nullif(F.trim(F.regexp_replace("canonical_name", r"(?i)^the\s+", "")), F.lit("")), F.col("canonical_name"))
+    single = F.regexp_replace(F.regexp_replace("_bare", _PLURAL_S, "$1"), _PLURAL_IES, "$1y")
+    named = entities.withColumn("_bare", bare).withColumn("_single", single)
+    there = named.filter(org).select(name_key(F.col("_bare")).alias("_k")).distinct().withColumn("_there", F.lit(True))
+    asked = F.when(org & (F.col("_single") != F.col("_bare")), name_key(F.col("_single")))
+    named = named.withColumn("_k", asked).join(there, "_k", "left")
+    named = named.withColumn("_name", F.when(F.col("_there"), F.col("_single")).when(org, F.col("_bare")).otherwise(F.col("canonical_name")))
+    aliases = F.when(F.col("_name") != F.col("canonical_name"), F.array_union("aliases", F.array("canonical_name"))).otherwise(F.col("aliases"))
+    clean = named.withColumns({"aliases": aliases, "canonical_name": F.col("_name"), "key": name_key(F.col("_name"))}).select(*entities.columns)
+    heads = clean.groupBy("key", "label").agg(F.min_by("entity_id", F.struct(-F.col("mention_count"), "entity_id")).alias("into"))
+    return merge(clean, clean.filter(org).join(heads, ["key", "label"]).select("entity_id", "into"))
+
+
 def resolve(entities: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
-    """All layers in order: aliases, fuzzy, cross type, subset persons, acronyms, partial persons."""
-    if aliases is not None:
-        entities = rename_by_alias(entities, aliases)
+    """All layers in order: aliases, fuzzy, cross type, subset persons, acronyms, partial persons, organisations'
+    surfaces.  A layer reads the entities more than once, so each is written before the next."""
+    entities = stash(entities if aliases is None else rename_by_alias(entities, aliases))
     for layer in (greedy_fuzzy, cross_type, subset_person_folds, acronym_folds, partial_person_folds):
-        entities = merge(entities, layer(entities))
-    return entities
+        entities = stash(merge(entities, layer(entities)))
+    return clean_org_surfaces(entities)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import domain, ontology, rules, text, urls
-from tessera.operators import documents, extract, narrative, network, quality, resolve, scoring
+from tessera.operators import documents, extract, inference, mentions, narrative, network, quality, resolve, scoring
 from tessera.operators.components import connected_components
 
 
@@ -246,3 +246,79 @@ def test_deep_replies(spark):
         data = {"id": str(i), "text": "x", "replies": [data]}
     made = documents.comment_tree(table(spark, [(json.dumps(data),)], "data string"))
     assert made.count() == 200 and made.agg(F.max("level")).first()[0] == 199
+
+
+def test_repair_spans(spark):
+    given = [("in Fili", "PERSON", 10, 17), ("Bofur and", "PERSON", 0, 9), ("Bofur and Bombur", "PERSON", 5, 21), ("Thorin and Company", "PERSON", 0, 18), ("The Shire", "LOCATION", 0, 9), ("in", "ORG", 0, 2), ("and in Rome", "LOCATION", 3, 14)]
+    made = mentions.repair_spans(table(spark, given, "text string, label string, start int, end int"))
+    assert rows(made, "text", "start", "end") == [("Bofur", 0, 5), ("Bofur", 5, 10), ("Bombur", 15, 21), ("Fili", 13, 17), ("Rome", 10, 14), ("The Shire", 0, 9), ("Thorin and Company", 0, 18), ("in", 0, 2)]
+
+
+def test_merge_mentions(spark):
+    given = [(1, "Ann", "P", 0, 3, 0.8, ["spacy"], 0), (1, "Ann Lee", "P", 0, 7, 0.8, ["gliner"], 1), (1, "Lee", "O", 4, 7, 0.9, ["spacy"], 2), (1, "Lee Rd", "P", 4, 10, 0.5, ["spacy"], 3), (1, "X", "P", 10, 11, 0.99, ["spacy"], 4), (2, "Y", "P", 0, 1, 0.95, ["gliner", "spacy"], 0)]
+    made = mentions.merge_mentions(table(spark, given, "doc_id int, text string, label string, start int, end int, confidence double, sources array<string>, ord int"))
+    assert rows(made.withColumn("confidence", F.round("confidence", 6)), "doc_id", "text", "confidence", "n_merged") == [(1, "Ann Lee", 0.95, 2), (1, "Lee", 0.9, 1), (1, "Lee Rd", 0.5, 1), (1, "X", 0.99, 1), (2, "Y", 1.0, 1)]
+
+
+def test_narrator_mentions(spark):
+    text_ = "Ich ging. Then I and my brother; mine not, même not. We"
+    made = mentions.narrator_mentions(table(spark, [("c", text_, 100, "Anna Berg"), ("d", "I am", 0, ""), ("e", None, 0, "X"), ("f", "", 0, "X")], "chunk_id string, text string, start_char int, narrator string"))
+    assert rows(made, "start", "surface") == [(100, "Ich"), (115, "I"), (121, "my"), (100 + text_.index("We"), "We")]
+    long = mentions.narrator_mentions(table(spark, [("c", "I " * 90, 0, "A")], "chunk_id string, text string, start_char int, narrator string"))
+    assert rows(long, "start") == [(2 * i,) for i in range(40)]
+
+
+def test_pronouns(spark):
+    spans = [("c", 1, 0, 0, 3, "Ann"), ("c", 1, 1, 10, 13, "She"), ("c", 1, 2, 20, 24, "Anna"), ("c", 2, 0, 30, 32, "he")]
+    named = [("c", "Anna Berg", "PERSON", 20, 29, 5), ("c", "Ann", "PERSON", 0, 3, 9)]
+    made = mentions.cluster_mentions(table(spark, spans, "chunk_id string, cluster int, i int, start int, end int, surface string"), table(spark, named, "chunk_id string, text string, label string, start int, end int, ord int"))
+    assert rows(made, "text", "start", "resolved_from") == [("Ann", 10, "she")]
+    edges = table(spark, [("I", "Rome"), ("he", "Rome"), ("Bob", " Me "), ("Anna", "ich"), ("Bob", "bob ")], "source string, target string")
+    assert rows(mentions.name_endpoints(edges, F.lit("Anna")), "source", "target") == [("Anna", "Rome"), ("Bob", "Anna")]
+
+
+def test_small_mention_rules(spark):
+    frame = table(spark, [("PERSON", "city in Hesse"), ("PERSON", "German politician"), ("ORG", "writer"), ("LOCATION", None), ("EVENT", "city")], "l string, d string")
+    assert [r[0] for r in frame.select(mentions.type_rejected(F.col("l"), F.col("d"))).collect()] == [True, False, True, False, False]
+    said = table(spark, [(1, "Ann", "P"), (1, "Ann Lee", "P"), (1, "Lee", "O"), (2, "B", "O"), (2, "B", "P"), (2, "Bob", "P")], "cluster int, surface string, label string")
+    assert rows(mentions.representative_surface(said), "cluster", "name", "label") == [(1, "Ann Lee", "P"), (2, "B", "P")]
+    found, old = [("A", "B", "met"), ("a", "b", "MET"), ("A", "Z", "met"), ("B", "A", "led")], [("b", "a", "led")]
+    schema = "source string, target string, rel_type string"
+    assert mentions.recalled_edges(table(spark, found, schema), table(spark, [("A",), ("B",)], "name string"), table(spark, old, schema)).count() == 1
+
+
+def test_org_surfaces(spark):
+    made = resolve.clean_org_surfaces(entities(spark, ("the Knight Foundations", "ORG", 2), ("Knight Foundation", "ORG", 5), ("Open Society Foundations", "ORG", 3), ("the Ann", "PERSON", 1)))
+    assert rows(made, "canonical_name", "mention_count") == [("Knight Foundation", 7), ("Open Society Foundations", 3), ("the Ann", 1)]
+    assert [r.aliases for r in made.filter("mention_count = 7").collect()] == [["the Knight Foundations"]]
+
+
+def test_memberships(spark):
+    data = [("p1", "Anna Berg", "PERSON", [], ["d1"], True), ("p2", "Max Vogt", "PERSON", ["Max, SA-Mann"], ["d1", "d2"], False), ("p3", "Ida", "PERSON", [], ["d3"], False), ("o1", "NSDAP", "ORG", [], [], False), ("o2", "Storm", "ORG", ["SA (Sturmabteilung)"], [], False), ("o3", "SS (Schutzstaffel)", "ORG", [], [], False)]
+    frame = table(spark, data, "entity_id string, canonical_name string, label string, aliases array<string>, doc_ids array<string>, is_author boolean")
+    told = table(spark, [("p2", "p3", "met_with", "both went in die SS and to class", 1), ("p3", "o1", "joined", "Parteigenosse seit 1930", 2), ("p1", "p2", "met_with", "", 3)], "source string, target string, rel_type string, evidence string, ord int")
+    made = inference.memberships(frame, told)
+    assert rows(made, "source", "target", "evidence_tier", "evidence") == [("p1", "o1", 0, "assumed of the corpus"), ("p2", "o2", 1, "sa-mann"), ("p2", "o3", 2, "in die ss"), ("p3", "o3", 2, "in die ss")]
+    assert inference.memberships(frame, told, scope="off").filter("evidence_tier = 0").count() == 0
+    assert inference.memberships(frame, told, scope="all").filter("evidence_tier = 0").count() == 2
+    with pytest.raises(ValueError):
+        inference.memberships(frame, told, scope="some")
+
+
+def test_hot_group_pairs(spark):
+    members = table(spark, [("g", i) for i in range(60)] + [("h", 1), ("h", 2)], "g string, m int").withColumns({"_k": F.lit(60), "_w": F.lit(1.0)})
+    made = network._pairs(members, "g", "m", "_w", 7)
+    assert made.count() == 60 * 59 // 2 + 1 and made.distinct().count() == made.count()
+
+
+def test_constraint_by_networks_formula(spark):
+    """Every node of a weighted graph with triangles against the definition itself."""
+    given = {(0, 1): 2.0, (0, 2): 1.0, (1, 2): 3.0, (2, 3): 1.0, (1, 3): 0.5, (3, 4): 4.0, (0, 4): 1.5}
+    w = lambda i, j: given.get((min(i, j), max(i, j)), 0.0)
+    near = {i: [j for j in range(5) if w(i, j)] for i in range(5)}
+    p = {(i, j): w(i, j) / sum(w(i, k) for k in near[i]) for i in range(5) for j in near[i]}
+    made = {r.id: r for r in network.constraint(table(spark, [(a, b, x) for (a, b), x in given.items()], "a long, b long, weight double")).collect()}
+    for i in range(5):
+        want = sum((p[i, j] + sum(p[i, q] * p.get((q, j), 0) for q in near[i] if q != j)) ** 2 for j in near[i])
+        size = sum(1 - sum(p[i, q] * w(j, q) / max(w(j, k) for k in near[j]) for q in near[i] if q != j) for j in near[i])
+        assert abs(made[i].constraint - want) < 1e-9 and abs(made[i].effective_size - size) < 1e-9
