@@ -132,3 +132,17 @@ def recalled_edges(found: DataFrame, names: DataFrame, existing: DataFrame) -> D
     for end in ("_s", "_t"):
         ends = ends.join(known.withColumnRenamed("_k", end), end, "left_semi")
     return ends.join(lower(existing).select("_s", "_t", "_r"), ["_s", "_t", "_r"], "left_anti").select(*found.columns)
+
+
+def text_windows(docs: DataFrame, width: int = 2000, overlap: int = 200) -> DataFrame:
+    """(doc_id, start, text): windows of ``width`` characters that share ``overlap`` with the next; a text that fits is
+    one window (empty for null)."""
+    whole = F.coalesce("text", F.lit(""))
+    starts = F.when(F.length(whole) <= width, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.length(whole) - 1, F.lit(max(1, width - overlap))))
+    placed = docs.select("doc_id", whole.alias("_t"), F.explode(starts).alias("start"))
+    return placed.select("doc_id", "start", F.substring("_t", F.col("start") + 1, F.lit(width)).alias("text"))
+
+
+def uncovered(docs: DataFrame, replies: DataFrame) -> DataFrame:
+    """(doc_id) of documents that no reply covers."""
+    return docs.select("doc_id").join(replies.select("doc_id"), "doc_id", "left_anti")

@@ -73,3 +73,14 @@ def org_surfaces(spark, sf_dir):
         F.array(key.cast("string")).alias("doc_ids"), F.lit(0.9).alias("confidence"), F.lit(False).alias("is_author"), F.lower(name).alias("key"),
     )
     return resolve.clean_org_surfaces(made).select("canonical_name", "mention_count", F.size("aliases").cast("long").alias("n_aliases"))
+
+
+@query("""WITH w AS (SELECT doc_id, text, unnest(CASE WHEN length(text) <= 2000 THEN [0] ELSE range(0, length(text), 1800) END) AS start FROM documents)
+SELECT doc_id, CAST(start AS INTEGER) AS start, md5(substr(text, CAST(start AS BIGINT) + 1, 2000)) AS digest FROM w""")
+def text_windows(spark, sf_dir):
+    return mentions.text_windows(table(spark, sf_dir, "documents")).select("doc_id", "start", F.md5("text").alias("digest"))
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def uncovered_documents(spark, sf_dir):
+    return mentions.uncovered(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
