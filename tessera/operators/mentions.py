@@ -13,6 +13,11 @@ NO_PERSON = ("company", "co", "co.", "sons", "söhne", "others", "family")
 # Pronouns of relations' ends.
 FIRST_PERSON = ("ich", "mich", "mir", "mein", "meine", "meinen", "meinem", "meiner", "wir", "uns", "unser", "unsere", "i", "me", "my", "myself", "we", "us", "our")
 THIRD_PERSON = ("er", "sie", "ihn", "ihm", "ihr", "ihre", "es", "sein", "seine", "man", "he", "him", "his", "she", "her", "they", "them", "their", "it")
+# Pronouns at which a narrator speaks, in English and German.
+NARRATION = (
+    "i", "me", "my", "mine", "myself", "we", "us", "our", "ours",
+    "ich", "mich", "mir", "mein", "meine", "meinen", "meinem", "meiner", "meines", "wir", "uns", "unser", "unsere", "unserem", "unseren", "unserer",
+)
 # Words of descriptions that speak against a macro type.
 PLACE_WORDS = ("city", "town", "village", "country", "municipality", "capital", "river", "mountain", "region", "province", "district", "commune")
 ORG_WORDS = ("party", "organization", "company", "band", "club", "association")
@@ -68,7 +73,7 @@ def merge_mentions(mentions: DataFrame, by: str = "doc_id") -> DataFrame:
     return best.select(by, "_m.text", "_m.label", "_m.start", "_m.end", shown.alias("confidence"), "sources", "n_merged")
 
 
-def narrator_mentions(chunks: DataFrame, words: tuple[str, ...] = FIRST_PERSON, most: int = 40) -> DataFrame:
+def narrator_mentions(chunks: DataFrame, words: tuple[str, ...] = NARRATION, most: int = 40) -> DataFrame:
     """(chunk_id, text, label, start, end, confidence, surface): the narrator at the first ``most`` first-person
     pronouns of each chunk (chunk_id, text, start_char, narrator); chunks without a narrator give none."""
     pattern = r"(?U)(?i)\b(?:" + "|".join(sorted(words, key=len, reverse=True)) + r")\b"
@@ -92,7 +97,7 @@ def cluster_mentions(spans: DataFrame, mentions: DataFrame, by: str = "chunk_id"
     touching = spans.join(named, by).filter((F.col("_s") < F.col("end")) & (F.col("start") < F.col("_e")))
     identity = touching.groupBy(by, "cluster").agg(F.min_by(F.struct("text", "label"), F.struct("i", "ord")).alias("_who"))
     said = F.lower(F.trim("surface"))
-    pronouns = spans.filter(said.isin(*FIRST_PERSON, *THIRD_PERSON, "hers") & ~said.isin("es", "man", "it"))
+    pronouns = spans.filter(said.isin(*NARRATION, *THIRD_PERSON, "hers") & ~said.isin("es", "man", "it"))
     return pronouns.join(identity, [by, "cluster"]).select(by, "_who.text", "_who.label", "start", "end", F.lit(0.45).alias("confidence"), said.alias("resolved_from"))
 
 

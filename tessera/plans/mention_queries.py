@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import mentions, resolve
-from ..operators.mentions import FIRST_PERSON, FUNCTION_WORDS, NO_PERSON, THIRD_PERSON
+from ..operators.mentions import FIRST_PERSON, FUNCTION_WORDS, NARRATION, NO_PERSON, THIRD_PERSON
 from .graph_queries import _in, _list, pick, table
 from .registry import query
 
@@ -41,7 +41,7 @@ def merged_mentions(spark, sf_dir):
     return mentions.merge_mentions(spans).withColumns({"confidence": F.round("confidence", 6), "sources": F.array_join("sources", ";")})
 
 
-@query(rf"""WITH w AS (SELECT doc_id, len(list_filter(string_split_regex(lower(text), '[^\p{{L}}\p{{M}}\p{{N}}_]+'), lambda x: x IN {_in(FIRST_PERSON)})) AS n FROM documents) SELECT doc_id, least(40, n) AS n_mentions FROM w WHERE n > 0""")
+@query(rf"""WITH w AS (SELECT doc_id, len(list_filter(string_split_regex(lower(text), '[^\p{{L}}\p{{M}}\p{{N}}_]+'), lambda x: x IN {_in(NARRATION)})) AS n FROM documents) SELECT doc_id, least(40, n) AS n_mentions FROM w WHERE n > 0""")
 def narrator_spans(spark, sf_dir):
     chunks = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("chunk_id"), "text", F.lit(0).alias("start_char"), F.lit("The narrator").alias("narrator"))
     return mentions.narrator_mentions(chunks).groupBy(F.col("chunk_id").alias("doc_id")).agg(F.count(F.lit(1)).alias("n_mentions"))

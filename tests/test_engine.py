@@ -263,7 +263,7 @@ def test_merge_mentions(spark):
 def test_narrator_mentions(spark):
     text_ = "Ich ging. Then I and my brother; mine not, même not. We"
     made = mentions.narrator_mentions(table(spark, [("c", text_, 100, "Anna Berg"), ("d", "I am", 0, ""), ("e", None, 0, "X"), ("f", "", 0, "X")], "chunk_id string, text string, start_char int, narrator string"))
-    assert rows(made, "start", "surface") == [(100, "Ich"), (115, "I"), (121, "my"), (100 + text_.index("We"), "We")]
+    assert rows(made, "start", "surface") == [(100, "Ich"), (115, "I"), (121, "my"), (100 + text_.index("mine"), "mine"), (100 + text_.index("We"), "We")]
     long = mentions.narrator_mentions(table(spark, [("c", "I " * 90, 0, "A")], "chunk_id string, text string, start_char int, narrator string"))
     assert rows(long, "start") == [(2 * i,) for i in range(40)]
 
