@@ -43,11 +43,12 @@ def surname_folds(entities: DataFrame, least: int = 4) -> DataFrame:
 
 
 def author_folds(entities: DataFrame) -> DataFrame:
-    """(entity_id, into): persons named like exactly one author, diacritics aside; placeholders stay."""
+    """(entity_id, into, pin): persons named like exactly one author, who keeps the name, diacritics aside;
+    placeholders stay."""
     plain = F.translate(F.col("key"), "áàâäãåéèêëíìîïóòôöõúùûüçñ", "aaaaaaeeeeiiiiooooouuuucn")
     persons = entities.filter("label = 'PERSON'").select("entity_id", plain.alias("p"), F.coalesce("is_author", F.lit(False)).alias("author")).filter("p NOT IN ('unknown', 'anonymous', 'narrator', 'author', '')")
     authors = persons.filter("author").groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.min("entity_id").alias("into")).filter("n = 1")
-    return persons.filter("NOT author").join(authors, "p").select("entity_id", "into")
+    return persons.filter("NOT author").join(authors, "p").select("entity_id", "into", F.lit(True).alias("pin"))
 
 
 def merge_metadata(entities: DataFrame, rows: DataFrame, links: dict[str, str]) -> tuple[DataFrame, DataFrame]:

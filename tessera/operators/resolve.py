@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import acronym, clean_surface, name_key, org_marker, stable_id
 from ..storage import stash
+from .identity import author_folds
 
 #: Least similarity of names by label.
 THRESHOLDS = {"PERSON": 0.85, "ORG": 0.72, "LOCATION": 0.82, "EVENT": 0.92}
@@ -141,33 +142,37 @@ def cross_type(entities: DataFrame) -> DataFrame:
 
 
 def acronym_folds(entities: DataFrame) -> DataFrame:
-    """(entity_id, into): an organisation named by the initials of exactly one other."""
-    orgs = entities.filter("label = 'ORG'")
+    """(entity_id, into, pin): an organisation named by the initials of exactly one other, which keeps its name."""
+    orgs = entities.filter("label IN ('ORG', 'INSTITUTION')")
     long = orgs.withColumn("_i", acronym(F.col("canonical_name"))).filter(F.length("_i") >= 2)
     one = long.groupBy("_i").agg(F.count(F.lit(1)).alias("_n"), F.min("entity_id").alias("into")).filter("_n = 1")
     short = orgs.filter(F.col("canonical_name").rlike(r"^[A-ZÄÖÜ]{2,}$")).select("entity_id", F.col("canonical_name").alias("_i"))
-    return short.join(one, "_i").filter("entity_id <> into").select("entity_id", "into")
+    return short.join(one, "_i").filter("entity_id <> into").select("entity_id", "into", F.lit(True).alias("pin"))
 
 
 def partial_person_folds(entities: DataFrame) -> DataFrame:
-    """(entity_id, into): a single-token person that is the first or last token of exactly one longer one."""
+    """(entity_id, into, pin): a single-token person that is the first or last token of exactly one longer one, which
+    keeps its name."""
     persons = entities.filter("label = 'PERSON' AND NOT coalesce(is_author, false)").withColumn("_t", F.split("key", " "))
     long = persons.filter(F.size("_t") > 1).select(F.explode(F.array_distinct(F.array(F.element_at("_t", 1), F.element_at("_t", -1)))).alias("key"), F.col("entity_id").alias("into"))
     one = long.groupBy("key").agg(F.count(F.lit(1)).alias("_n"), F.min("into").alias("into")).filter("_n = 1")
-    return persons.filter(F.size("_t") == 1).join(one, "key").select("entity_id", "into")
+    return persons.filter(F.size("_t") == 1).join(one, "key").select("entity_id", "into", F.lit(True).alias("pin"))
 
 
 def subset_person_folds(entities: DataFrame) -> DataFrame:
-    """(entity_id, into): a person whose tokens, two or more, occur in order in exactly one longer person."""
+    """(entity_id, into, pin): a person whose tokens, two or more, occur in order in exactly one longer person.
+
+    The longer name is pinned if both have the same outer tokens (middle names); else the better attested one wins."""
     persons = entities.filter("label = 'PERSON'").select("entity_id", F.split("key", " ").alias("t"))
     short = persons.filter(F.size("t") >= 2).select(F.col("entity_id").alias("s"), F.col("t").alias("st"), F.element_at("t", 1).alias("k1"), F.element_at("t", -1).alias("k2"))
     # Both outer tokens occur in the longer name: an equi-join on the pair.
     long = persons.filter(F.size("t") >= 3).select(F.col("entity_id").alias("l"), F.col("t").alias("lt"), F.posexplode("t").alias("i", "k1")).select("l", "lt", "i", "k1", F.explode(F.slice("lt", F.col("i") + 2, F.size("lt"))).alias("k2")).distinct()
     step = lambda at, tok: F.when(at < 0, at).otherwise(_next_place(F.col("lt"), tok, at))
     inside = F.aggregate("st", F.lit(0), step) > 0
-    found = short.join(long, ["k1", "k2"]).filter((F.size("lt") > F.size("st")) & inside).select("s", "l").distinct()
-    one = found.groupBy("s").agg(F.count(F.lit(1)).alias("n"), F.min("l").alias("into")).filter("n = 1")
-    return one.select(F.col("s").alias("entity_id"), "into")
+    same = (F.element_at("lt", 1) == F.element_at("st", 1)) & (F.element_at("lt", -1) == F.element_at("st", -1))
+    found = short.join(long, ["k1", "k2"]).filter((F.size("lt") > F.size("st")) & inside).select("s", "l", same.alias("same")).distinct()
+    one = found.groupBy("s").agg(F.count(F.lit(1)).alias("n"), F.min("l").alias("into"), F.bool_and("same").alias("pin")).filter("n = 1")
+    return one.select(F.col("s").alias("entity_id"), "into", "pin")
 
 
 def _next_place(tokens: Column, token: Column, after: Column) -> Column:
@@ -183,20 +188,27 @@ def qid_folds(entities: DataFrame) -> DataFrame:
 
 
 def merge(entities: DataFrame, folds: DataFrame) -> DataFrame:
-    """Entities after folds: mentions add up, documents and aliases unite, the name of most mentions stays."""
-    placed = entities.join(folds, "entity_id", "left").withColumn("into", F.coalesce("into", "entity_id"))
-    order = F.struct(F.when(F.col("canonical_name").startswith("Narrator ["), 1).otherwise(0), -F.col("mention_count"), F.when(F.col("entity_id") == F.col("into"), 0).otherwise(1), "entity_id")
+    """Entities after folds (entity_id, into and perhaps ``pin``): mentions add up, documents and aliases unite, the name
+    of most mentions stays, or that of ``into`` where a fold pins it."""
+    pins = folds if "pin" in folds.columns else folds.withColumn("pin", F.lit(False))
+    placed = entities.join(pins, "entity_id", "left").withColumn("into", F.coalesce("into", "entity_id"))
+    own = F.when(F.col("entity_id") == F.col("into"), F.lit(0))
+    order = F.struct(F.when(F.col("canonical_name").startswith("Narrator ["), 1).otherwise(0), -F.col("mention_count"), F.coalesce(own, F.lit(1)), "entity_id")
     made = placed.groupBy("into").agg(
-        F.min_by("canonical_name", order).alias("canonical_name"),
-        F.min_by("label", F.when(F.col("entity_id") == F.col("into"), F.lit(0))).alias("label"),
+        F.min_by("canonical_name", order).alias("_top"),
+        F.min_by("canonical_name", own).alias("_own"),
+        F.bool_or(F.coalesce("pin", F.lit(False))).alias("_pin"),
+        F.min_by("label", own).alias("label"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.array_union("aliases", F.array("canonical_name")))))).alias("_names"),
         F.sum("mention_count").alias("mention_count"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("doc_ids")))).alias("doc_ids"),
         F.max("confidence").alias("confidence"),
         F.bool_or(F.coalesce("is_author", F.lit(False))).alias("is_author"),
     )
-    made = made.withColumn("aliases", F.array_except("_names", F.array("canonical_name"))).drop("_names")
-    return made.withColumnRenamed("into", "entity_id").withColumn("key", name_key(F.col("canonical_name")))
+    made = made.withColumn("canonical_name", F.when(F.col("_pin"), F.coalesce("_own", "_top")).otherwise(F.col("_top")))
+    made = made.withColumn("aliases", F.array_except("_names", F.array("canonical_name")))
+    named = made.select(F.col("into").alias("entity_id"), "canonical_name", "label", "aliases", "mention_count", "doc_ids", "confidence", "is_author")
+    return named.withColumn("key", name_key(F.col("canonical_name")))
 
 
 def remap_edges(edges: DataFrame, folds: DataFrame) -> DataFrame:
@@ -239,9 +251,9 @@ def clean_org_surfaces(entities: DataFrame) -> DataFrame:
 
 
 def resolve(entities: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
-    """All layers in order: aliases, fuzzy, cross type, subset persons, acronyms, partial persons, organisations'
-    surfaces.  A layer reads the entities more than once, so each is written before the next."""
+    """All layers in order: aliases, fuzzy, cross type, subset persons, acronyms, partial persons, authors,
+    organisations' surfaces.  A layer reads the entities more than once, so each is written before the next."""
     entities = stash(entities if aliases is None else rename_by_alias(entities, aliases))
-    for layer in (greedy_fuzzy, cross_type, subset_person_folds, acronym_folds, partial_person_folds):
+    for layer in (greedy_fuzzy, cross_type, subset_person_folds, acronym_folds, partial_person_folds, author_folds):
         entities = stash(merge(entities, layer(entities)))
     return clean_org_surfaces(entities)

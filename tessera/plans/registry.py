@@ -27,4 +27,4 @@ def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["backbone_edges"](spark, sf_dir)
 
 
-from . import graph_queries, mention_queries, more_queries, text_queries  # noqa: E402, F401  (they register themselves)
+from . import graph_queries, mention_queries, more_queries, review_queries, text_queries  # noqa: E402, F401  (they register themselves)
