@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -75,9 +76,17 @@ def cut_reference_tail(text: Column) -> Column:
     return F.when(good, kept).otherwise(text)
 
 
+def _is_pattern(text: str) -> bool:
+    try:
+        re.compile(text)
+    except re.error:
+        return False
+    return True
+
+
 def strip_boilerplate(text: Column, patterns: list[str]) -> Column:
-    """Each pattern to a space, runs of blanks to one."""
-    cut = reduce(lambda c, p: F.regexp_replace(c, p, " "), patterns, text)
+    """Each pattern to a space, runs of blanks to one; what is no pattern is ignored."""
+    cut = reduce(lambda c, p: F.regexp_replace(c, p, " "), filter(_is_pattern, patterns), text)
     return F.trim(F.regexp_replace(cut, r"[ \t]{2,}", " "))
 
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import domain, rules
+from ..functions import domain, names, rules
 from ..functions.text import name_key
 from ..functions.urls import host_key
-from ..operators import evaluation, exports, extract, network, quality, relations, review, validation
+from ..operators import evaluation, exports, extract, network, quality, relations, replies, review, validation
 from ..sources import crawl
 from .graph_queries import CONNECTION, LABELS, POLARITY, REL, SYMMETRIC, TIE, _in, _list, _listed, pick, table
 from .graph_queries import relations as made_relations
@@ -234,3 +234,42 @@ def relation_scores(spark, sf_dir):
     edges = made_relations(spark, sf_dir).select(names("source").alias("source"), names("target").alias("target"), "rel_type", "edge_source")
     nodes = spark.range(20).select(F.concat(F.lit("s"), "id").alias("name"), F.lit("ORG").alias("type"), F.array().cast("array<string>").alias("aliases"), F.col("id").alias("ord"))
     return evaluation.relation_scores(nodes, edges.filter("edge_source = 'metadata'"), nodes, edges.filter("edge_source <> ''")).select("view", "slot", "tp", "fp", "fn")
+
+
+def _replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model's reply on each order: two relations, the second with an end missing at every third."""
+    key, other = F.col("o_orderkey"), F.when(F.col("o_orderkey") % 3 == 0, F.lit("")).otherwise(F.lit("Rome"))
+    shown = F.format_string(
+        '```json\n{"entities": [{"name": "Anna %d", "type": "person", "confidence": 0.9}, {"name": "anna %d", "type": "ORG"}, {"name": "X", "type": "thing"}], "relations": [{"source": "Anna %d", "target": "Bob", "type": "met_with", "evidence": "e", "year": %d,}, '
+        '{"source": "Anna", "target": "%s", "confidence": 0}], "events": [{"date": "%s", "description": "d", "entities": ["Anna", ""]}, {"date": "6 years old"}]}\n```',
+        key, key, key, key % 50, other, F.date_format("o_orderdate", "yyyy-MM-dd"),
+    )
+    return replies.extractions(table(spark, sf_dir, "orders").select(key.cast("string").alias("doc_id"), shown.alias("reply")))
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS doc_id, 'Anna ' || o_orderkey AS text, 'PERSON' AS label, 0.9 AS confidence FROM orders")
+def reply_mentions(spark, sf_dir):
+    return replies.reply_mentions(_replies(spark, sf_dir), ("PERSON", "ORG")).select("doc_id", "text", "label", "confidence")
+
+
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS doc_id, 'Anna ' || o_orderkey AS source, 'Bob' AS target, 'met_with' AS rel_type, 0.6 AS confidence, CAST(o_orderkey % 50 AS VARCHAR) AS qual_year FROM orders
+UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 'Anna', 'Rome', 'related_to', 0.6, '' FROM orders WHERE o_orderkey % 3 <> 0""")
+def reply_relations(spark, sf_dir):
+    return replies.reply_relations(_replies(spark, sf_dir), qualifiers=("year",)).select("doc_id", "source", "target", "rel_type", "confidence", "qual_year")
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS doc_id, strftime(o_orderdate, '%Y-%m-%d') AS iso_date, CAST(year(o_orderdate) AS INTEGER) AS year, 'd' AS description, 'Anna' AS entities FROM orders")
+def reply_timeline(spark, sf_dir):
+    return replies.reply_timeline(_replies(spark, sf_dir)).select("doc_id", "iso_date", "year", "description", F.array_join("entities", ";").alias("entities"))
+
+
+_FILES = ("August Spanku239694.rtf", "unknown12.rtf", "NN.txt", "Berg.v2.txt", "77.rtf")
+_AUTHORS = ("August Spanku", None, None, "Berg.v", None)
+_NUMBERS = ("239694", "12", None, "2", "77")
+_CHOSEN = lambda values: "CASE o_orderkey % 5 " + " ".join(f"WHEN {i} THEN {_quoted(v)}" for i, v in enumerate(values)) + " END"
+
+
+@query(f"SELECT o_orderkey, {_CHOSEN(_AUTHORS)} AS author, {_CHOSEN(_NUMBERS)} AS number FROM orders")
+def file_authors(spark, sf_dir):
+    file = pick(_FILES, F.col("o_orderkey"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", names.file_author(file).alias("author"), names.file_number(file).alias("number"))

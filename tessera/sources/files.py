@@ -5,9 +5,11 @@ from __future__ import annotations
 import html
 import io
 import re
+import warnings
 import zipfile
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from importlib.util import find_spec
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -104,10 +106,13 @@ def extract(raw: bytes, suffix: str) -> str | None:
 
 
 def read_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """Documents of all files under ``path``; unreadable and empty ones are left out."""
+    """Documents of all files under ``path``; unreadable and empty ones are left out, PDFs with a warning where no
+    library for them is installed."""
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
     suffix = F.lower(F.regexp_extract("path", r"(\.[A-Za-z0-9]+)$", 1))
     raw = raw.select("path", suffix.alias("suffix"), "content").filter(~F.col("suffix").isin(*BINARY))
+    if find_spec("fitz") is None:
+        warnings.warn("PDF files are left out: fitz is not installed", stacklevel=2)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:

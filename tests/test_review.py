@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import evaluation, exports, extract, relations, resolve, review
+from tessera.functions import names, text
+from tessera.operators import evaluation, exports, extract, relations, replies, resolve, review
 from tessera.sources import corpora, crawl
 
 ENTITY = "entity_id string, canonical_name string, label string, aliases array<string>, mention_count int, doc_ids array<string>, confidence double, is_author boolean, key string"
@@ -156,3 +157,35 @@ def test_write_run(spark, tmp_path):
     assert exports.run_summary(nodes.withColumn("relevance_tier", F.lit("core")), edges, events).first().asDict() == {"entities": 2, "core": 2, "edges": 1, "timeline": 1}
     with pytest.raises(ValueError):
         exports.write_run(str(tmp_path), nodes, edges, events, docs, formats=("xlsx",))
+
+
+def test_reply_shapes(spark):
+    whole = '{"d1": {"entities": [{"name": "Anna", "type": "PERSON"}, "stray"]}, "d2": {"relations": [{"source": "A", "target": "a"}, {"source": "A", "target": "B", "evidence": "not said", "directed": true}]}}'
+    given = [("x", whole), ("y", 'Sure: [{"id": "d3", "events": [{"date": "6 years old"}, {"date": "May 1921", "entities": [" Anna ", null, 7]}]}]'), ("z", "nothing here"), ("w", None), ("v", '{"entities": null, "timeline": "bad"}')]
+    found = replies.extractions(spark.createDataFrame(given, "doc_id string, reply string"))
+    assert sorted(r["doc_id"] for r in found.collect()) == ["d1", "d2", "d3", "v"]
+    assert [(r["doc_id"], r["text"], r["confidence"]) for r in replies.reply_mentions(found, ("PERSON",)).collect()] == [("d1", "Anna", 0.6)]
+    assert replies.reply_mentions(found, ("PERSON",), spark.createDataFrame([("d1", " anna ")], "doc_id string, text string")).count() == 0
+    docs = spark.createDataFrame([("d2", "quite another text of the document")], "doc_id string, text string")
+    told = replies.reply_relations(found, docs, ("amount",)).collect()
+    assert [(r["doc_id"], r["source"], r["target"], r["rel_type"], r["directed"], r["evidence_unverified"], r["qual_amount"]) for r in told] == [("d2", "A", "B", "related_to", True, True, "")]
+    assert [(r["doc_id"], r["date_text"], r["iso_date"], r["year"], r["entities"]) for r in replies.reply_timeline(found).collect()] == [("d3", "May 1921", "1921-05-01", 1921, ["Anna", "7"])]
+
+
+def test_complete_replies(spark):
+    frame = spark.createDataFrame([('ok: {"a": [1]} done', True), ('{"a": [1}', False), ("", False), (None, False)], "v string, want boolean")
+    assert all(r["got"] == r["want"] for r in frame.withColumn("got", replies.complete(F.col("v"))).collect())
+
+
+def test_flagged_narrators(spark):
+    mentions = spark.createDataFrame([(1, "Villwak", "PERSON"), (1, "Berg", "PERSON"), (1, "Vilwak", "ORG"), (2, "Anna Berg", "PERSON"), (2, "Ana Berg", "PERSON"), (3, "Max", "PERSON")], "doc_id int, text string, label string")
+    authors = spark.createDataFrame([(1, "Vilwak"), (2, "Ana Berg"), (3, None)], "doc_id int, author string")
+    flagged = {(r["doc_id"], r["text"]) for r in replies.flag_narrators(mentions, authors).filter("is_author").collect()}
+    assert flagged == {(1, "Villwak"), (2, "Ana Berg")}
+
+
+def test_names_of_files_and_firms(spark):
+    frame = spark.createDataFrame([("The Acme Works, Inc.", "a b/c?.txt"), ("Acme Works & Sons", "???"), (None, None)], "v string, f string")
+    got = [tuple(r) for r in frame.select(names.firm_key(F.col("v")), names.safe_name(F.col("f"), F.lit("none"))).collect()]
+    assert got == [("acme works", "a_b_c_.txt"), ("acme works & sons", "none"), ("", "none")]
+    assert frame.limit(1).select(text.strip_boilerplate(F.lit("a [x  b"), ["[", r"\[x"])).first()[0] == "a b"
