@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import domain, names, rules
 from ..functions.text import name_key
 from ..functions.urls import host_key
-from ..operators import evaluation, exports, extract, network, quality, relations, replies, review, validation
+from ..operators import evaluation, exports, extract, inference, network, quality, relations, replies, review, validation
 from ..sources import crawl
 from .graph_queries import CONNECTION, LABELS, POLARITY, REL, SYMMETRIC, TIE, _in, _list, _listed, pick, table
 from .graph_queries import relations as made_relations
@@ -273,3 +273,21 @@ _CHOSEN = lambda values: "CASE o_orderkey % 5 " + " ".join(f"WHEN {i} THEN {_quo
 def file_authors(spark, sf_dir):
     file = pick(_FILES, F.col("o_orderkey"))
     return table(spark, sf_dir, "orders").select("o_orderkey", names.file_author(file).alias("author"), names.file_number(file).alias("number"))
+
+
+_SENTENCES = ("geboren am 5.5.1898 dort", "Ich wohnte lange hier", "mein Vater wurde hier geboren", "nichts", "I was born and lived here")
+
+
+@query("""WITH m AS (SELECT DISTINCT 'c' || o_custkey AS source, 'n' || o_orderkey % 25 AS target, CASE WHEN o_orderkey % 5 = 1 THEN 'resided_in' ELSE 'born_in' END AS rel_type FROM orders WHERE o_orderkey % 5 IN (0, 1, 4)),
+e AS (SELECT 'c' || c_custkey AS source, 'n5' AS target, CASE WHEN c_custkey % 2 = 0 THEN 'resided_in' ELSE 'located_in' END AS rel_type FROM customer WHERE c_custkey % 3 = 0)
+SELECT * FROM m UNION SELECT * FROM e WHERE (source, target) NOT IN (SELECT (source, target) FROM m)""")
+def biographical_edges(spark, sf_dir):
+    key, order = F.col("c_custkey"), F.col("o_orderkey")
+    none = F.array().cast("array<string>")
+    people = table(spark, sf_dir, "customer").select(F.concat(F.lit("c"), key).alias("entity_id"), F.concat(F.lit("person "), key).alias("canonical_name"), none.alias("aliases"), F.lit("PERSON").alias("label"), F.lit(1).alias("mention_count"), F.lit(True).alias("is_author"), F.array(key).alias("doc_ids"))
+    places = table(spark, sf_dir, "nation").select(F.concat(F.lit("n"), "n_nationkey").alias("entity_id"), F.concat(F.lit("place "), "n_nationkey").alias("canonical_name"), none.alias("aliases"), F.lit("LOCATION").alias("label"), F.lit(1).alias("mention_count"), F.lit(False).alias("is_author"), F.array().cast("array<bigint>").alias("doc_ids"))
+    told = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("long").alias("doc_id"), F.concat(F.lit("Place "), order % 25).alias("text"), F.lit("LOCATION").alias("label"), pick(_SENTENCES, order).alias("sentence"), order.alias("ord"))
+    rel, proof = F.when(key % 2 == 0, "lived_in").otherwise("located_in"), F.when(key % 2 == 0, "I lived there").otherwise("geb. Krotzki")
+    edges = table(spark, sf_dir, "customer").filter("c_custkey % 3 = 0").select(F.concat(F.lit("c"), key).alias("source"), F.lit("n5").alias("target"), rel.alias("rel_type"), key.alias("doc_id"), proof.alias("evidence"), F.lit(0.6).alias("confidence"), F.lit("llm_extracted").alias("edge_source"), key.alias("ord"))
+    made = inference.biographical_edges(people.unionByName(places), edges, told)
+    return made.select("source", "target", "rel_type").distinct()

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import names, text
-from tessera.operators import evaluation, exports, extract, relations, replies, resolve, review
+from tessera.operators import evaluation, exports, extract, inference, relations, replies, resolve, review
 from tessera.sources import corpora, crawl
 
 ENTITY = "entity_id string, canonical_name string, label string, aliases array<string>, mention_count int, doc_ids array<string>, confidence double, is_author boolean, key string"
@@ -189,3 +189,15 @@ def test_names_of_files_and_firms(spark):
     got = [tuple(r) for r in frame.select(names.firm_key(F.col("v")), names.safe_name(F.col("f"), F.lit("none"))).collect()]
     assert got == [("acme works", "a_b_c_.txt"), ("acme works & sons", "none"), ("", "none")]
     assert frame.limit(1).select(text.strip_boilerplate(F.lit("a [x  b"), ["[", r"\[x"])).first()[0] == "a b"
+
+
+def test_biographical_edges(spark):
+    names = entities(spark, ("a", "Anna Berg", 5, True, []), ("r", "Rome", 5, False, ["Roma"], "LOCATION"), ("b", "Bern", 2, False, [], "LOCATION"), ("k", "Kiel", 2, False, [], "LOCATION"))
+    told = spark.createDataFrame([
+        ("da", "Roma", "LOCATION", "Ich bin 1898 in Roma geboren.", 0), ("da", "Rome", "LOCATION", "Ich wohnte in Rome.", 1), ("da", "Bern", "LOCATION", "Mein Vater wurde in Bern geboren.", 2),
+        ("da", "Kiel", "LOCATION", "Nothing of Kiel.", 3), ("dx", "Rome", "LOCATION", "born in Rome", 4), ("da", "Rome", "ORG", "born in Rome", 5), ("da", "Rome", "LOCATION", None, 6),
+    ], "doc_id string, text string, label string, sentence string, ord int")
+    edges = spark.createDataFrame([("a", "r", "located_in", "da", "", 0.6, "llm", 0), ("a", "r", "located_in", "da", "again", 0.6, "llm", 1), ("a", "b", "lived_in", "da", "She lived in Bern", 0.6, "llm", 2), ("a", "k", "located_in", "da", "Marie, geb. Krotzki", 0.6, "llm", 3)], "source string, target string, rel_type string, doc_id string, evidence string, confidence double, edge_source string, ord int")
+    got = {(r["target"], r["rel_type"], r["ord"], r["biographical_cue"], r["type_upgraded_from"]) for r in inference.biographical_edges(names, edges, told).collect()}
+    assert got == {("r", "born_in", 0, "geboren", "located_in"), ("r", "located_in", 1, None, None), ("r", "resided_in", None, "wohnte", None), ("b", "resided_in", 2, "lived", "lived_in"), ("k", "located_in", 3, None, None)}
+    assert inference.biographical_edges(names, edges.limit(0), told.limit(0)).count() == 0
