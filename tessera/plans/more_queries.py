@@ -51,7 +51,11 @@ def relation_alignment(spark, sf_dir):
     return ontology.align(relations(spark, sf_dir)).groupBy("rel_type", "aligned").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+_FORMS = ", ".join(f"('{form}', '{org}', '{forms[0]}', {level})" for org, ladder in domain.RANKS.items() for level, forms in enumerate(ladder, 1) for form in forms)
+
+
+@query(rf"""WITH r(form, org, canonical, level) AS (VALUES {_FORMS}), k AS (SELECT regexp_replace(replace(replace(replace(replace(lower(trim(form)), 'ä', 'ae'), 'ö', 'oe'), 'ü', 'ue'), 'ß', 'ss'), '[\s\-_.]+', '', 'g') AS form, org, canonical, level FROM r)
+SELECT form, string_agg(DISTINCT org, '/' ORDER BY org) AS org, arg_min(canonical, org) AS canonical, CAST(arg_min(level, org) AS INTEGER) AS level, count(DISTINCT org) > 1 AS ambiguous FROM k GROUP BY form""")
 def rank_table(spark, sf_dir):
     return domain.INTERWAR.rank_table(spark)
 
