@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from ..functions.text import name_key, verbatim
+from ..storage import stash
 from .documents import repair_json
 from .extract import dates
 
@@ -112,7 +113,8 @@ def reply_relations(found: DataFrame, docs: DataFrame | None = None, qualifiers:
 def reply_timeline(found: DataFrame, pivot: int | None = None) -> DataFrame:
     """(doc_id, date_text, iso_date, year, description, entities, confidence): events whose date has a year.  A date of
     several forms counts by the earliest of them."""
-    each = found.select("doc_id", F.posexplode("data.timeline").alias("_i", "t")).filter("trim(t.date) <> ''").withColumn("_e", F.concat_ws("|", "doc_id", "_i"))
+    # Read twice below, and behind it are the replies' repairs.
+    each = stash(found.select("doc_id", F.posexplode("data.timeline").alias("_i", "t")).filter("trim(t.date) <> ''").withColumn("_e", F.concat_ws("|", "doc_id", "_i")))
     read = dates(each.select(F.col("_e").alias("doc_id"), F.trim("t.date").alias("text")), pivot).filter("year IS NOT NULL")
     one = read.groupBy(F.col("doc_id").alias("_e")).agg(F.min(F.struct("iso_date", "year")).alias("d"))
     named = F.filter(F.coalesce("t.entities", F.array().cast("array<string>")), lambda x: x != "")
