@@ -41,7 +41,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 @apart
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity 0.8 or more) one document stays."""
+    """Of each group of near copies (five-word shingles, similarity 0.8 or more) one document stays: SimHash groups
+    them, an exact check follows, and what fingerprints leave apart is found exactly."""
     return simhash.drop_near_copies(docs)
 
 

@@ -282,13 +282,26 @@ def _shared_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield found(*(np.concatenate(c) for c in zip(*waiting, strict=True)))
 
 
+def fingerprint_pairs(keyed: DataFrame, rows: DataFrame) -> DataFrame:
+    """(a, b), a < b: each node of ``rows`` (row_key, node) with the head of every component that simhash_groups puts
+    one of its texts (``keyed``: row_key, text) in; the head is the component's row of the smallest row_key."""
+    found = simhash_groups(keyed.select(F.col("row_key").alias("doc_id"), "text"))
+    nodes = rows.select("row_key", "node").distinct()
+    heads = nodes.select(F.col("row_key").alias("component_id"), F.col("node").alias("head"))
+    placed = found.select(F.col("doc_id").alias("row_key"), "component_id").join(nodes, "row_key").select("node", "component_id").distinct()
+    met = placed.join(heads, "component_id").filter("node <> head")
+    return met.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
+
+
 def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """(row_key, group, stays) for each distinct (doc_id, text) of docs: groups of near copies.
 
     Texts are linked if the Jaccard similarity of their sets of ``width``-word shingles is at least ``similarity``;
-    the groups are the components of all such links.  Every link is found: candidates share a cell, one of the
-    rarest shingles that the similarity forces them to share (see prefixes).  First each text is compared with the
-    first and the previous one of its cells, then with random members of their largest groups; at last, in every cell, all pairs that these links have not joined yet
+    the groups are the components of all such links.  simhash_groups goes first: each text is compared with the
+    head of the component of its fingerprint.  Fingerprints of similar texts may lie further apart than it links, so
+    the rest is found exactly: candidates share a cell, one of the rarest shingles that the similarity forces them to
+    share (see prefixes).  Each text is compared with the first and the previous one of its cells, then with random
+    members of their largest groups; at last, in every cell, all pairs that these links have not joined yet
     and whose lengths and shared cells allow the similarity.  Each is computed exactly.  Of a group the row of the
     smallest doc_id stays (null last).  Null texts count as empty and as copies of one another.
     row_key: xxhash64(doc_id, text).
@@ -356,7 +369,8 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> Dat
     guess = guess.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.first("high").alias("high")).filter("n * 20 >= high")
     # The few partners that share most cells: what they leave apart, the pass over all pairs below joins.
     closest = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("n"), "a"))
-    guess = stash(guess.withColumn("place", closest).filter(F.col("place") <= GUESSES).select("a", "b"))
+    guess = guess.withColumn("place", closest).filter(F.col("place") <= GUESSES).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    guess = stash(fingerprint_pairs(keyed, rows).union(guess).distinct())
     first = linked(guess)
     roots = stash(connected_components(first))
 
@@ -397,7 +411,7 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> Dat
     # last cell comes first has all its shared cells in the other's.  The longer one has more outside.
     needed = F.ceil(F.lit(similarity / (1 + similarity)) * (F.col("low") + F.col("high")) - 1e-6)
     outside = F.ceil(F.lit(similarity) * F.col("high") - 1e-6) - 1
-    rest = stash(met.filter(F.col("n") + outside >= needed).select("a", "b").join(guess, ["a", "b"], "left_anti").join(guess.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"))
+    rest = stash(met.filter(F.col("n") + outside >= needed).select("a", "b").join(guess, ["a", "b"], "left_anti"))
     roots = stash(connected_components(first.union(linked(rest))))
     grouped = stash(rows.join(roots, "node", "left").select("doc_id", "row_key", F.coalesce("root", "node").alias("group")))
     least = grouped.groupBy("group").agg(F.min_by("row_key", _order()).alias("_stays"))

@@ -596,6 +596,28 @@ def test_near_copies_behind_another_partner(spark):
     assert sorted(r.doc_id for r in made.collect()) == [10 * i + j for i in range(5) for j in range(4)]
 
 
+def test_near_dedup_goes_by_fingerprints(spark, tmp_path, monkeypatch):
+    """Without any shared cell SimHash alone finds near copies; texts of one fingerprint that are no copies stay."""
+    import corpus_pipeline
+
+    def no_cells(batches):
+        for _ in batches:
+            yield from ()
+
+    monkeypatch.setattr(simhash, "_shared_cells", no_cells)
+    rnd = random.Random(31)
+    base = [[f"w{rnd.randrange(10**6)}" for _ in range(900)] for _ in range(12)]
+    near = [[*b[:400], b[400] + "x", *b[401:]] for b in base]
+    spam = [["buy"] * 500 + [f"s{i}x{j}" for j in range(60)] for i in range(4)]
+    texts = [" ".join(t) for t in base + near + spam]
+    marks = [simhash.fingerprint(t) for t in texts]
+    linked = [i for i in range(12) if (marks[i] ^ marks[12 + i]).bit_count() <= 2]
+    assert len(linked) > 6 and len(set(marks[24:])) == 1
+    table = spark.createDataFrame([(i, t, "", "", 0) for i, t in enumerate(texts)], SCHEMA).repartition(3)
+    made = dict(corpus_pipeline.STAGES)["near_dedup"](spark, table, str(tmp_path))
+    assert sorted(r.doc_id for r in made.collect()) == [i for i in range(28) if i - 12 not in linked]
+
+
 def test_pipeline(spark, tmp_path, rows):
     import corpus_pipeline
 
