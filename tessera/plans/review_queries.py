@@ -179,13 +179,28 @@ def permitted_pages(spark, sf_dir):
     return crawl.permitted(pages, crawl.robot_rules(robots, "reader/1.0"))
 
 
+#: Pages of a sitemap file, and files of an index file, about.
+_FILE = 1000
+
+
 @query("SELECT DISTINCT url FROM pages WHERE NOT regexp_matches(lower(url), '\\.(pdf|jpg|jpeg|png|gif|zip)$')")
 def sitemap_pages(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select("url", F.concat(host_key(F.col("url")), F.lit("")).alias("h"))
+    """Files of about a thousand pages of one host, index files of about a thousand of these, and a root that lists the index
+    files: no row grows with a host or the table."""
+    pages = table(spark, sf_dir, "pages").select("url", "page_id", F.coalesce(host_key(F.col("url")), F.lit("")).alias("h"))
+    share = lambda n: F.ceil(F.col(n) / _FILE)
+    parts = pages.groupBy("h").agg(F.count(F.lit(1)).alias("_n"))
+    total = parts.agg(F.sum(share("_n")).alias("_m"))  # one row
+    file = F.concat(F.lit("https://"), "h", F.lit("/pages"), F.pmod(F.xxhash64("page_id", "url"), share("_n")), F.lit(".xml"))
+    placed = pages.join(parts, "h").select(file.alias("file"), "url")
+    wrap = lambda tag, items: F.concat(F.lit(f"<{tag}>"), F.array_join(F.collect_list(items), ""), F.lit(f"</{tag}>")).alias("text")
     loc = F.concat(F.lit("<url><loc> "), F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit(" </loc></url>"))
-    leaves = pages.groupBy("h").agg(F.concat(F.lit("<urlset>"), F.array_join(F.collect_list(loc), ""), F.lit("</urlset>")).alias("text")).select(F.concat(F.lit("https://"), "h", F.lit("/pages.xml")).alias("url"), "text")
-    index = leaves.agg(F.concat(F.lit("<sitemapindex>"), F.array_join(F.collect_list(F.concat(F.lit("<loc>"), "url", F.lit("</loc>"))), ""), F.lit("</sitemapindex>")).alias("text")).select(F.lit("root").alias("url"), "text")
-    return crawl.sitemap_urls(leaves.unionByName(index), index.select("url"))
+    leaves = placed.groupBy(F.col("file").alias("url")).agg(wrap("urlset", loc))
+    listed = lambda files, by: files.groupBy(by.alias("_i")).agg(wrap("sitemapindex", F.concat(F.lit("<loc>"), "url", F.lit("</loc>")))).select(F.col("_i").alias("url"), "text")
+    names = placed.select(F.col("file").alias("url")).distinct().crossJoin(total)
+    index = listed(names, F.concat(F.lit("index"), F.pmod(F.xxhash64("url"), share("_m"))))
+    root = listed(index.select("url"), F.lit("root"))
+    return crawl.sitemap_urls(leaves.unionByName(index).unionByName(root), spark.createDataFrame([("root",)], "url string"))
 
 
 _PHRASES = (("MIT License", "LICENSE"), ("apache license", "LICENSE"), ("General Public License", "LICENSE"))

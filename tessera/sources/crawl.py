@@ -97,8 +97,13 @@ def crawl_delays(rules: DataFrame) -> DataFrame:
 def sitemap_urls(files: DataFrame, roots: DataFrame, max_depth: int = 2) -> DataFrame:
     """(url): pages that sitemap files (url, text) list, from the roots (url) through at most ``max_depth`` further levels
     of index files; only pages in scope."""
-    locs = F.transform(F.regexp_extract_all("text", F.lit(r"(?is)<(?:\w+:)?loc\s*>\s*(.*?)\s*</(?:\w+:)?loc\s*>"), F.lit(1)), lambda u: F.replace(u, F.lit("&amp;"), F.lit("&")))
-    listed = stash(files.select("url", F.rlike("text", F.lit(r"(?i)<(?:\w+:)?sitemapindex\b")).alias("_index"), F.explode(locs).alias("_to")).filter("_to <> ''"))
+    # All that needs the text is taken before the rows multiply, since an expression beside explode is evaluated for every
+    # row it makes; the address is then sought in the piece before each closing tag.
+    closed = F.split("text", r"(?i)</(?:\w+:)?loc\s*>")
+    read = files.select("url", F.rlike("text", F.lit(r"(?i)<(?:\w+:)?sitemapindex\b")).alias("_index"), F.slice(closed, 1, F.size(closed) - 1).alias("_p"))
+    pieces = read.select("url", "_index", F.explode("_p").alias("_p"))
+    loc = F.replace(F.regexp_extract("_p", r"(?is)<(?:\w+:)?loc\s*>\s*(.*?)\s*\z", 1), F.lit("&amp;"), F.lit("&"))
+    listed = stash(pieces.select("url", "_index", loc.alias("_to")).filter("_to <> ''"))
     level, found = roots.select("url").distinct(), []
     seen = level
     for _ in range(max_depth + 1):

@@ -1,7 +1,10 @@
 """Queries on odd inputs and on the shapes that large tables have."""
 
+import time
+
 import pytest
 from tessera.plans import registry
+from tessera.sources import crawl
 
 
 def write(spark, folder, name, rows, schema):
@@ -17,3 +20,12 @@ def test_sentence_counts_by_the_sql(spark, tmp_path):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
     made = registry.QUERIES["sentence_counts"](spark, folder)
     assert sorted((tuple(r) for r in made.collect()), key=str) == sorted(con.execute(registry.ORACLES["sentence_counts"]).fetchall(), key=str)
+
+
+def test_sitemaps_of_one_large_file(spark):
+    began = time.time()
+    text = "<urlset>" + "".join(f"<url><ns:LOC >\n https://a.org/{i}?x=1&amp;y=2 </ns:loc></url>" for i in range(60000)) + "<loc>https://a.org/open</urlset>"
+    files = spark.createDataFrame([("leaf", text), ("root", "<sitemapindex><loc> leaf\n</loc><loc></loc></loc></sitemapindex>")], "url string, text string")
+    found = crawl.sitemap_urls(files, spark.createDataFrame([("root",)], "url string"))
+    assert (found.count(), found.filter("url = 'https://a.org/7?x=1&y=2'").count()) == (60000, 1)
+    assert time.time() - began < 60  # it takes seconds; matching all in one text takes minutes
