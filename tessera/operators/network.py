@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.rules import CLASSES, NON_PROJECTING
-from ..storage import stash
+from ..storage import parts_for, stash, stash_in
 from .components import connected_components
 
 
@@ -23,7 +23,8 @@ def _pairs(members: DataFrame, group: str, member: str, weight: str, block: int
     every = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
     left = members.select(group, F.col(member).alias("a"), weight, mine.alias("_i"), every.alias("_j"))
     right = members.select(group, F.col(member).alias("b"), mine.alias("_j"), every.alias("_i"))
-    return left.join(right, [group, "_i", "_j"]).filter("a < b").drop("_i", "_j")
+    # A broadcast would leave the pairs to as many tasks as there are files.
+    return left.join(right.hint("merge"), [group, "_i", "_j"]).filter("a < b").drop("_i", "_j")
 
 
 def cooccurrence(mentions: DataFrame, doc: str = "doc_id", entity: str = "entity_id", min_shared: int = 2) -> DataFrame:
@@ -31,13 +32,20 @@ def cooccurrence(mentions: DataFrame, doc: str = "doc_id", entity: str = "entity
 
     A document of k entities adds 1 / (k - 1) to each of its pairs (k counts all of them).  Only entities in
     ``min_shared`` documents can be in a pair, so the others go before the self-join, which they would square.
+    Each step has as many partitions as its rows need, the self-join as its pairs need: what it reads is far smaller.
     """
-    seen = mentions.select(doc, entity).filter(F.col(doc).isNotNull() & F.col(entity).isNotNull()).distinct()
+    spark = mentions.sparkSession
+    named = mentions.select(doc, entity).filter(F.col(doc).isNotNull() & F.col(entity).isNotNull())
+    parts = parts_for(spark, named.count())
+    seen = stash_in(named.distinct(), parts)
     sized = seen.join(seen.groupBy(doc).agg(F.count(F.lit(1)).alias("_k")), doc).filter("_k > 1")
-    often = seen.groupBy(entity).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_shared).select(entity)
-    sized = sized.join(often, entity, "left_semi").withColumn("_w", 1.0 / (F.col("_k") - 1))
+    if min_shared > 1:
+        often = seen.groupBy(entity).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_shared).select(entity)
+        sized = sized.join(often, entity, "left_semi")
+    sized = stash_in(sized.withColumn("_w", 1.0 / (F.col("_k") - 1)), parts)
+    met = sized.groupBy(doc).agg(F.count(F.lit(1)).alias("_c")).agg(F.sum(F.expr("_c * (_c - 1) div 2"))).first()[0]
     made = _pairs(sized, doc, entity, "_w").groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared_docs"), F.sum("_w").alias("strength"))
-    made = made.filter(F.col("shared_docs") >= min_shared)
+    made = stash_in(made.filter(F.col("shared_docs") >= min_shared), parts_for(spark, met))
     return made.withColumn("confidence", F.least(F.lit(1.0), 0.3 + 0.1 * F.col("shared_docs")))
 
 
@@ -95,7 +103,7 @@ def disparity(pairs: DataFrame, alpha: float = 0.0, weight: str = "strength") ->
     chance = lambda end: F.when(F.col(f"_k{end}") <= 1, 0.0).otherwise(F.pow(F.greatest(F.lit(0.0), 1 - F.col(weight) / F.col(f"_s{end}")), F.col(f"_k{end}") - 1))
     scored = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("disparity_alpha", F.round(F.least(chance("a"), chance("b")), 5))
     scored = scored.drop("_sa", "_ka", "_sb", "_kb")
-    return scored.filter(F.col("disparity_alpha") < alpha) if alpha > 0 else scored
+    return stash_in(scored.filter(F.col("disparity_alpha") < alpha) if alpha > 0 else scored, parts_for(pairs.sparkSession, pairs.count()))
 
 
 def aggregate_edges(edges: DataFrame) -> DataFrame:

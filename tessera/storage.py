@@ -39,6 +39,26 @@ def stash(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def parts_for(spark: SparkSession, rows: int | None, most: int = 1 << 20) -> int:
+    """Partitions that hold about ``most`` of ``rows`` each; a core has one at least."""
+    return max(spark.sparkContext.defaultParallelism, -(-(rows or 0) // most))
+
+
+def stash_in(df: DataFrame, parts: int) -> DataFrame:
+    """``stash`` with ``parts`` partitions at every shuffle, never merged by the size of what is read: for steps that make
+    far more rows than they read, or more than the session's number of partitions can hold in memory."""
+    spark = df.sparkSession
+    wanted = {"spark.sql.shuffle.partitions": str(parts), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        return stash(df)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def unstash(df: DataFrame) -> None:
     """Delete the files of a stash that nothing reads any more."""
     spark = df.sparkSession

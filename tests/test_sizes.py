@@ -3,8 +3,10 @@
 import time
 
 import pytest
+from tessera.operators import network
 from tessera.plans import registry
 from tessera.sources import crawl
+from tessera.storage import parts_for
 
 
 def write(spark, folder, name, rows, schema):
@@ -29,3 +31,16 @@ def test_sitemaps_of_one_large_file(spark):
     found = crawl.sitemap_urls(files, spark.createDataFrame([("root",)], "url string"))
     assert (found.count(), found.filter("url = 'https://a.org/7?x=1&y=2'").count()) == (60000, 1)
     assert time.time() - began < 60  # it takes seconds; matching all in one text takes minutes
+
+
+def test_pairs_are_dealt_by_their_number(spark, monkeypatch):
+    """Members that fit one small partition make their pairs in many, and the pairs stay the same."""
+    members = spark.range(4 * 300).selectExpr("id % 4 AS g", "id div 4 AS m").coalesce(1)
+    parts, stash_in = [], network.stash_in
+    monkeypatch.setattr(network, "parts_for", lambda spark, rows: parts_for(spark, rows, 5000))
+    monkeypatch.setattr(network, "stash_in", lambda df, n: parts.append(n) or stash_in(df, n))
+    made = network.project(members, "g", "m", 3)
+    assert parts[-1] == -(-4 * 300 * 299 // 2 // 5000) == 36
+    assert made.filter("shared_groups = 4 AND strength = 4 / 299D").count() == 300 * 299 // 2
+    joined = network._pairs(members.selectExpr("*", "300L AS _k", "1D AS _w"), "g", "m", "_w")
+    assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
