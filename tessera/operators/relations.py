@@ -15,6 +15,8 @@ VERBS = {
 }
 _IRREGULAR = {"led": "lead", "leading": "lead", "bought": "buy", "met": "meet", "married": "marry", "marries": "marry"}
 CONFIDENCE = 0.55
+#: First words of phrases that a plan holds itself; more than these are left to the join.
+_HEADS = 2000
 
 
 def verb_forms() -> dict[str, str]:
@@ -50,14 +52,19 @@ def gazetteer(docs: DataFrame, phrases: DataFrame, most_words: int = 6) -> DataF
     """(doc_id, label, first, n_words, surface): phrases (phrase, label) of up to ``most_words`` words in documents (doc_id,
     text), case aside: by word position, the longest at a place, none that overlaps one before it.
 
-    Every run of words is one key of an equi-join, so the list of phrases may be large."""
+    Every run of words is one key of an equi-join, so the list of phrases may be large; but only runs whose first word
+    begins a phrase are keys at all, when the first words are few enough to go along with the plan."""
+    known = phrases.select(F.lower(F.regexp_replace(F.trim("phrase"), r"\s+", " ")).alias("_k"), "label").groupBy("_k").agg(F.min("label").alias("label"))
+    heads = [r[0] for r in known.select(F.split("_k", " ")[0]).distinct().limit(_HEADS + 1).collect()]
     words = docs.select("doc_id", F.regexp_extract_all("text", F.lit(r"[\p{L}\p{N}]+(?:['’.-][\p{L}\p{N}]+)*"), F.lit(0)).alias("_w"))
     # The words beside those that follow, by shifted arrays: a row holds a few words and never the whole text.
     shifted = F.arrays_zip(*[F.slice("_w", k + 1, F.size("_w")).alias(f"w{k}") for k in range(most_words)])
-    spots = words.filter(F.size("_w") > 0).select("doc_id", F.posexplode(shifted).alias("first", "_r"))
+    placed = F.transform(shifted, lambda r, i: F.struct(i.alias("first"), r.alias("_r")))
+    if len(heads) <= _HEADS:  # else every run is a key
+        placed = F.filter(placed, lambda p: F.lower(p["_r"]["w0"]).isin(*heads))
+    spots = words.filter(F.size("_w") > 0).select("doc_id", F.explode(placed).alias("_p")).select("doc_id", "_p.first", "_p._r")
     run = lambda n: F.struct(F.lit(n).alias("n"), F.when(F.col(f"_r.w{n - 1}").isNotNull(), F.concat_ws(" ", *[F.col(f"_r.w{k}") for k in range(n)])).alias("s"))
     runs = spots.select("doc_id", "first", F.explode(F.array(*[run(n) for n in range(1, most_words + 1)])).alias("_x")).filter("_x.s IS NOT NULL")
-    known = phrases.select(F.lower(F.regexp_replace(F.trim("phrase"), r"\s+", " ")).alias("_k"), "label").groupBy("_k").agg(F.min("label").alias("label"))
     hits = runs.select("doc_id", "first", F.col("_x.n").alias("n_words"), F.col("_x.s").alias("surface"), F.lower("_x.s").alias("_k")).join(known, "_k")
     longest = hits.groupBy("doc_id", "first").agg(F.max(F.struct("n_words", "label", "surface")).alias("h"))
     # In order of place, a hit counts if it starts where the last one that counted has ended.

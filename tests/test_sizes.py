@@ -3,7 +3,7 @@
 import time
 
 import pytest
-from tessera.operators import network
+from tessera.operators import extract, network, relations
 from tessera.plans import registry
 from tessera.sources import crawl
 from tessera.storage import parts_for
@@ -44,3 +44,37 @@ def test_pairs_are_dealt_by_their_number(spark, monkeypatch):
     assert made.filter("shared_groups = 4 AND strength = 4 / 299D").count() == 300 * 299 // 2
     joined = network._pairs(members.selectExpr("*", "300L AS _k", "1D AS _w"), "g", "m", "_w")
     assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_gazetteer_keys_are_runs_that_begin_a_phrase(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "The New York Times of New York, new  york"), (2, None), (3, ""), (4, "york NEW york")], "doc_id long, text string")
+    phrases = spark.createDataFrame([("New York", "LOCATION"), ("new york times", "ORG"), ("York Times", "EVENT"), (None, "ORG")], "phrase string, label string")
+    few = relations.gazetteer(docs, phrases)
+    assert " IN (new,york" in few._jdf.queryExecution().optimizedPlan().toString().replace("york,new", "new,york").replace(", ", ",").replace("IN(", "IN (")
+    monkeypatch.setattr(relations, "_HEADS", 0)
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, relations.gazetteer(docs, phrases).collect()))
+    assert few.count() == 4
+
+
+def test_chunks_are_made_from_slices_of_a_batch(monkeypatch):
+    """A batch of many texts gives several frames, none of many times the slice."""
+    import pandas as pd
+
+    class Caught(Exception):
+        pass
+
+    class Docs:
+        dtypes = [("doc_id", "bigint")]
+
+        def select(self, *_):
+            return self
+
+        def mapInPandas(self, cut, _):
+            raise Caught(cut)
+
+    with pytest.raises(Caught) as caught:
+        extract.chunks(Docs())
+    texts = ["A b. " * 400] * 3000 + [None, ""]
+    frames = list(caught.value.args[0](iter([pd.DataFrame({"doc_id": range(3002), "text": texts})])))
+    assert len(frames) > 1 and max(f["text"].str.len().sum() for f in frames) < 3 << 20
+    assert [d for f in frames for d in f["doc_id"]] == list(range(3002))
